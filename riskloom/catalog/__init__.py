@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("rowwise", "grouped", "encoders")
+_MODULES = ("rowwise", "grouped", "encoders", "builders")
 
 
 def _merged(attribute: str) -> dict:

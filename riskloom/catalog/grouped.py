@@ -17,21 +17,21 @@ WINDOWS = {"6M": -180, "1Y": -365, "2Y": -730, "3Y": -1095, "5Y": -1825, "NONE":
 
 
 def numeric_profile(spark, root):
-    loans = role(spark, root, "loans").withColumns({c: F.col(c) / 1000 for c in ("amount", "gappy")})
+    loans = role(spark, root, "loans").withColumns({c: F.col(c) / 100000 for c in ("amount", "gappy")})
     out = fused_group_agg(loans, ["client"], [*A.numeric_profile(["amount", "gappy", "gappy_t"], "LN"), A.row_count("LN_COUNT")])
-    return rounded(out, 5)
+    return rounded(out.withColumn("LN_gappy_t_VAR", F.col("LN_gappy_t_VAR") / 1000000), 11)
 
 
 PROFILE_SQL = rounded_sql(
     role_sql("loans")
-    + ", k AS (SELECT client, amount / 1000 AS amount, gappy / 1000 AS gappy, gappy_t FROM loans) SELECT client, "
+    + ", k AS (SELECT client, amount / 100000 AS amount, gappy / 100000 AS gappy, gappy_t FROM loans) SELECT client, "
     + ", ".join(
-        f"min({c}) AS LN_{c}_MIN, max({c}) AS LN_{c}_MAX, avg({c}) AS LN_{c}_MEAN, {s} AS LN_{c}_SUM, var_samp({c}) AS LN_{c}_VAR"
-        for c, s in (("amount", "sum(amount)"), ("gappy", "coalesce(sum(gappy), 0)"), ("gappy_t", "CAST(coalesce(sum(gappy_t), 0) AS BIGINT)"))
+        f"min({c}) AS LN_{c}_MIN, max({c}) AS LN_{c}_MAX, avg({c}) AS LN_{c}_MEAN, {s} AS LN_{c}_SUM, var_samp({c}){d} AS LN_{c}_VAR"
+        for c, s, d in (("amount", "sum(amount)", ""), ("gappy", "coalesce(sum(gappy), 0)", ""), ("gappy_t", "CAST(coalesce(sum(gappy_t), 0) AS BIGINT)", " / 1000000"))
     )
     + ", count(*) AS LN_COUNT FROM k GROUP BY client",
     [f"LN_{c}_{s}" for c in ("amount", "gappy") for s in ("MIN", "MAX", "MEAN", "SUM", "VAR")] + ["LN_gappy_t_MEAN", "LN_gappy_t_VAR"],
-    5,
+    11,
 )
 
 
