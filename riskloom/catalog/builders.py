@@ -71,11 +71,11 @@ APP_COLS = [
     "CAR_EMPLOYED_RATIO", "PHONE_MINUS_REG", "CHILDREN_RATIO", "DEF_30_60_RATIO", "DOCUMENT_COUNT", "AMT_REQ_SUM",
     "FLAG_CONTACTS_SUM", "CITY_RATING_x_EXT2", "EXT_RANGE", "EXT_SOURCE_SPREAD", "REGION_POP_x_EXT", "HOUR_APPR_x_EXT2", "LIVE_REGION_DIFF",
 ]
-APP_BIG = ["INCOME_EMPLOYED", "INCOME_PER_CHILD", "EXT_S3xEMPL", "DOWN_PAYMENT", "GP2", "GP9"]
+APP_BIG = ["DAYS_BIRTH_YRS", "INCOME_EMPLOYED", "INCOME_PER_CHILD", "EXT_S3xEMPL", "DOWN_PAYMENT", "GP2", "GP9"]
 
 
 def builder_application(spark, root):
-    return _scaled(application_features(role(spark, root, "application")), APP_COLS, APP_BIG, 13)
+    return _scaled(application_features(role(spark, root, "application")), APP_COLS, APP_BIG, 12)
 
 
 _APP_SQL = role_sql("application") + """,
@@ -300,7 +300,7 @@ QUERIES = {
     "builder_pos": builder_pos, "builder_card": builder_card, "builder_installments": builder_installments,
 }
 ORACLES = {
-    "builder_application": _scaled_sql(_APP_SQL, APP_COLS, APP_BIG, 13), "builder_bureau": _scaled_sql(_BURO_SQL, BURO_COLS, BURO_BIG, 12),
+    "builder_application": _scaled_sql(_APP_SQL, APP_COLS, APP_BIG, 12), "builder_bureau": _scaled_sql(_BURO_SQL, BURO_COLS, BURO_BIG, 12),
     "builder_previous": _scaled_sql(_PREV_SQL, PREV_COLS, PREV_BIG), "builder_pos": _scaled_sql(_POS_SQL, POS_COLS, []),
     "builder_card": _scaled_sql(_CC_SQL, CC_COLS, []), "builder_installments": _scaled_sql(_INS_SQL, INS_COLS, []),
 }
