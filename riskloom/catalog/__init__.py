@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ("rowwise", "grouped", "encoders", "builders")
+_MODULES = ("rowwise", "grouped", "encoders", "builders", "scoring")
 
 
 def _merged(attribute: str) -> dict:
