@@ -33,6 +33,10 @@ def _scaled_sql(sql: str, cols: list[str], big: list[str], digits: int = DIGITS)
     return rounded_sql(f'SELECT "{C.KEY}", {picked} FROM ({sql})', cols, digits)
 
 
+def _variances(cols: list[str]) -> list[str]:
+    return [c for c in cols if c.endswith("_VAR")]
+
+
 def _assemble(source: str, parts: list[tuple[str, str]]) -> str:
     """Left join of separately grouped parts ``(select list, filter)`` onto the distinct clients."""
     ctes = ", ".join(
@@ -224,7 +228,7 @@ POS_COLS = [
 
 
 def builder_pos(spark, root):
-    return _scaled(C.pos_features(role(spark, root, "pos")), POS_COLS, [])
+    return _scaled(C.pos_features(role(spark, root, "pos")), POS_COLS, _variances(POS_COLS), 9)
 
 
 _POS_SQL = "SELECT *, done / POS_COUNT AS POS_COMPLETED_RATE FROM (" + _with_per_loan(
@@ -249,7 +253,7 @@ CC_COLS = [
 
 
 def builder_card(spark, root):
-    return _scaled(C.card_features(role(spark, root, "card")), CC_COLS, [])
+    return _scaled(C.card_features(role(spark, root, "card")), CC_COLS, _variances(CC_COLS), 9)
 
 
 _CC_SQL = _with_per_loan(
@@ -285,7 +289,7 @@ INS_COLS = [
 
 
 def builder_installments(spark, root):
-    return _scaled(C.installment_features(role(spark, root, "installments")), INS_COLS, [])
+    return _scaled(C.installment_features(role(spark, root, "installments")), INS_COLS, _variances(INS_COLS), 9)
 
 
 _INS_SQL = _with_per_loan(
@@ -301,6 +305,6 @@ QUERIES = {
 }
 ORACLES = {
     "builder_application": _scaled_sql(_APP_SQL, APP_COLS, APP_BIG, 12), "builder_bureau": _scaled_sql(_BURO_SQL, BURO_COLS, BURO_BIG, 12),
-    "builder_previous": _scaled_sql(_PREV_SQL, PREV_COLS, PREV_BIG), "builder_pos": _scaled_sql(_POS_SQL, POS_COLS, []),
-    "builder_card": _scaled_sql(_CC_SQL, CC_COLS, []), "builder_installments": _scaled_sql(_INS_SQL, INS_COLS, []),
+    "builder_previous": _scaled_sql(_PREV_SQL, PREV_COLS, PREV_BIG), "builder_pos": _scaled_sql(_POS_SQL, POS_COLS, _variances(POS_COLS), 9),
+    "builder_card": _scaled_sql(_CC_SQL, CC_COLS, _variances(CC_COLS), 9), "builder_installments": _scaled_sql(_INS_SQL, INS_COLS, _variances(INS_COLS), 9),
 }

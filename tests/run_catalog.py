@@ -6,13 +6,15 @@ import time
 sys.path.insert(0, ".")
 
 from compare import connect, mismatch  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
-from riskloom.session import build_session  # noqa: E402
 
 if __name__ == "__main__":
     root, names = sys.argv[1], sys.argv[2:]
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "16g"})
+    # A plain session: the queries must not depend on this library's own settings.
+    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "16g").getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
     con = connect(root)
     queries, oracles = entry.queries(), entry.oracle_sql()
     for name in names or queries:
