@@ -10,9 +10,9 @@ from riskloom.llm.native import starts, words
 from riskloom.session import materialize
 
 #: Fixed before any label is seen: the share of each defect that counts as one unit of the score.
-SCALES = {"symbols": 0.10, "dup_lines": 0.30, "repeats": 0.20, "shouting": 0.40}
+SCALES = {"symbols": 0.07, "dup_lines": 0.50, "repeats": 0.20, "shouting": 0.40}
 #: Cutoffs on the score from lenient to strict, tried in this order.
-CUTOFFS = (4.0, 3.0, 2.0, 1.5, 1.0, 0.75)
+CUTOFFS = (4.0, 3.0, 2.0, 1.5, 1.0)
 
 
 def text_counts(docs: DataFrame, keep: Sequence[str] = ("doc_id",), window: int = 5) -> DataFrame:
