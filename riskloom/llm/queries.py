@@ -4,25 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import chat, mixing, quality
+from riskloom.llm import chat, decontaminate, mixing, quality, simhash, super_kmers, url_filter
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return super_kmers.drop_repeats(_table(spark, root, "documents")).drop("kept_text")
+
+
 def op2_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mixing.mix(_table(spark, root, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, root: str) -> DataFrame:
+    return url_filter.judge(_table(spark, root, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, root: str) -> DataFrame:
     return quality.judge(_table(spark, root, "documents"), _table(spark, root, "labels"))
 
 
+def op6_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, root, "documents"), _table(spark, root, "benchmark"))
+
+
 def op7_chat_rotation(spark: SparkSession, root: str) -> DataFrame:
     return chat.rotate(_table(spark, root, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op5_quality_rules, op7_chat_rotation)}
+def op9_simhash(spark: SparkSession, root: str) -> DataFrame:
+    return simhash.near_groups(_table(spark, root, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op2_mixing, op4_url_filter, op5_quality_rules, op6_decontamination, op7_chat_rotation, op9_simhash,
+)}
 
-ORACLES = {"op2_mixing": mixing.MIX_SQL, "op5_quality_rules": quality.QUALITY_SQL, "op7_chat_rotation": chat.CHAT_SQL}
+ORACLES = {"op1_substring_dedup": super_kmers.REPEATS_SQL, "op2_mixing": mixing.MIX_SQL, "op5_quality_rules": quality.QUALITY_SQL, "op7_chat_rotation": chat.CHAT_SQL}
