@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import chat, decontaminate, mixing, quality, simhash, super_kmers, url_filter
+from riskloom.llm import chat, decontaminate, mixing, quality, simhash, super_kmers, url_filter, warc
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mixing.mix(_table(spark, root, "documents"))
 
 
+def op3_warc(spark: SparkSession, root: str) -> DataFrame:
+    return warc.round_trip(_table(spark, root, "pages"))
+
+
 def op4_url_filter(spark: SparkSession, root: str) -> DataFrame:
     return url_filter.judge(_table(spark, root, "pages"))
 
@@ -40,7 +44,10 @@ def op9_simhash(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op2_mixing, op4_url_filter, op5_quality_rules, op6_decontamination, op7_chat_rotation, op9_simhash,
+    op1_substring_dedup, op2_mixing, op3_warc, op4_url_filter, op5_quality_rules, op6_decontamination, op7_chat_rotation, op9_simhash,
 )}
 
-ORACLES = {"op1_substring_dedup": super_kmers.REPEATS_SQL, "op2_mixing": mixing.MIX_SQL, "op5_quality_rules": quality.QUALITY_SQL, "op7_chat_rotation": chat.CHAT_SQL}
+ORACLES = {
+    "op1_substring_dedup": super_kmers.REPEATS_SQL, "op2_mixing": mixing.MIX_SQL, "op3_warc": warc.WARC_SQL,
+    "op5_quality_rules": quality.QUALITY_SQL, "op7_chat_rotation": chat.CHAT_SQL,
+}
