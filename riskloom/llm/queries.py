@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import chat, decontaminate, mixing, quality, simhash, super_kmers, url_filter, warc
+from riskloom.llm import chat, decontaminate, mixing, quality, simhash, super_kmers, token_rollup, url_filter, warc
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -43,8 +43,13 @@ def op9_simhash(spark: SparkSession, root: str) -> DataFrame:
     return simhash.near_groups(_table(spark, root, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, root: str) -> DataFrame:
+    return token_rollup.corpus_totals(_table(spark, root, "documents"), _table(spark, root, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_mixing, op3_warc, op4_url_filter, op5_quality_rules, op6_decontamination, op7_chat_rotation, op9_simhash,
+    op10_token_counts,
 )}
 
 ORACLES = {
