@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import chat, decontaminate, mixing, quality, simhash, super_kmers, token_rollup, url_filter, warc
+from riskloom.llm import chat, decontaminate, mixing, quality, simhash, suffix_dedup, super_kmers, token_rollup, url_filter, warc
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op7_chat_rotation(spark: SparkSession, root: str) -> DataFrame:
     return chat.rotate(_table(spark, root, "conversations"))
 
 
+def op8_suffix_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return suffix_dedup.drop_repeats(_table(spark, root, "documents")).drop("kept")
+
+
 def op9_simhash(spark: SparkSession, root: str) -> DataFrame:
     return simhash.near_groups(_table(spark, root, "documents"))
 
@@ -48,7 +52,7 @@ def op10_token_counts(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op2_mixing, op3_warc, op4_url_filter, op5_quality_rules, op6_decontamination, op7_chat_rotation, op9_simhash,
+    op1_substring_dedup, op2_mixing, op3_warc, op4_url_filter, op5_quality_rules, op6_decontamination, op7_chat_rotation, op8_suffix_dedup, op9_simhash,
     op10_token_counts,
 )}
 

@@ -225,7 +225,8 @@ def repeated_spans(docs: DataFrame, width: int = 20, gram: int = 5, buckets: int
             return _emit(packed, spans, 1)
 
         for batch in batches:
-            yield batch.filter(pc.equal(batch.column("kind"), _SPANS))
+            settled = batch.filter(pc.equal(batch.column("kind"), _SPANS))
+            yield pa.RecordBatch.from_arrays(settled.columns, settled.schema.names)  # all columns nullable, as in the others
             batch = batch.filter(pc.equal(batch.column("kind"), _PACKED))
             for bucket, payload in zip(batch.column("bucket").to_pylist(), batch.column("payload").to_pylist()):
                 if bucket != now:
