@@ -101,30 +101,49 @@ def certified_cutoffs(
     return counted.select("stratum", best.alias("cutoff")).where(F.col("cutoff").isNotNull())
 
 
-def judge(
-    docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.05, delta: float = 0.1, keep: Sequence[str] = ()
-) -> DataFrame:
-    """Counts and verdict per document: ``doc_id, n_words, ..., base_failed, cutoff, kept``.
-
-    ``labels`` is ``doc_id, quality``; a document labelled twice counts as good only if every label
-    says so, and null labels are ignored. A null stratum is a stratum of its own. Documents that
-    repeat an id are judged each by its own text.
-    """
-    counts = materialize(
-        text_counts(docs, ("doc_id", stratum, *keep)).withColumn("score", defect_score()), "quality-counts"
-    )
+def _limits(counts: DataFrame, labels: DataFrame, stratum: str, risk: float, delta: float) -> DataFrame:
     marked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     labelled = counts.join(marked, "doc_id").select(F.col(stratum).alias("stratum"), "score", "quality")
-    limits = materialize(certified_cutoffs(labelled, risk, delta), "risk-cutoffs")
+    return materialize(certified_cutoffs(labelled, risk, delta), "risk-cutoffs")
+
+
+def _decided(counts: DataFrame, limits: DataFrame, stratum: str) -> DataFrame:
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    above = F.coalesce((F.col("score") > F.col("cutoff")).cast("int"), F.lit(0))
+    # One comparison that needs both sides of the join: as a filter it stays above the join, where the
+    # counts are columns, and is not spelled out into the text expressions below.
     return (
         counts.join(limits, F.col(stratum).eqNullSafe(F.col("stratum")), "left")
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & ~F.coalesce(F.col("score") > F.col("cutoff"), F.lit(False)))
-        .drop("stratum", "score", "n_lines", "n_shouts")
+        .withColumn("base_failed", failed).withColumn("kept", F.greatest(failed.cast("int"), above) == 0)
     )
 
 
+def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.05, delta: float = 0.1) -> DataFrame:
+    """Counts and verdict per document: ``doc_id, <stratum>, n_words, ..., base_failed, cutoff, kept``.
+
+    ``labels`` is ``doc_id, quality``; a document labelled twice counts as good only if every label
+    says so, and null labels are ignored. A null stratum is a stratum of its own. Documents that
+    repeat an id are judged each by its own text. Other columns are ignored; an empty table gives
+    an empty result, and without labels only the base rules reject.
+    """
+    counts = materialize(text_counts(docs, ("doc_id", stratum)).withColumn("score", defect_score()), "quality-counts")
+    decided = _decided(counts, _limits(counts, labels, stratum, risk, delta), stratum)
+    return decided.drop("stratum", "score", "n_lines", "n_shouts")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.05, delta: float = 0.1) -> DataFrame:
+    """The documents that :func:`judge` keeps, all columns unchanged.
+
+    Cutoffs come from one pass over all documents; a second pass applies them where the texts are,
+    so that no text is shuffled.
+    """
+    counts = materialize(text_counts(docs, ("doc_id", stratum)).withColumn("score", defect_score()), "quality-counts")
+    limits = _limits(counts, labels, stratum, risk, delta)
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(stratum).alias("_stratum"), "text")
+    scored = text_counts(packed, ("_row", "_stratum")).withColumn("score", defect_score())
+    return _decided(scored, limits, "_stratum").where("kept").select("_row.*")
+
+
 def _share(a: str, b: str, unit: float) -> str:
     return f"CASE WHEN {b} > 0 THEN {a}::DOUBLE / {b} / {unit} ELSE 0 END"
 

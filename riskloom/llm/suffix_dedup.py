@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskloom.llm.buffers import slices, text_bytes
 from riskloom.llm.induced_sort import suffix_order
@@ -255,3 +255,30 @@ def drop_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
 
     marked = attach(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), repeated_spans(docs, length))
     return marked.mapInArrow(cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+
+
+def strip(docs: DataFrame, length: int = 400) -> DataFrame:
+    """The documents with repeated strings cut out of their texts; ``n_chars``, if there, is counted anew.
+
+    What a cut leaves of a character it runs through is dropped, so texts stay valid. Null texts
+    stay null, documents cut to nothing stay with an empty text, other columns are unchanged.
+    """
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    marked = attach(packed, repeated_spans(docs, length)).select("_row", "text", "_spans")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            raw, offs = text_bytes(b.column("text"))
+            data, texts = raw.tobytes(), []
+            for i, (text, packed) in enumerate(zip(b.column("text"), b.column("_spans").to_pylist())):
+                if not packed:
+                    texts.append(text.as_py())
+                    continue
+                s, e = decode(packed)
+                lo, hi = np.append(0, e) + offs[i], np.append(s + offs[i], offs[i + 1])
+                texts.append(b"".join([data[x:y] for x, y in zip(lo.tolist(), hi.tolist())]).decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(texts, pa.string())], ["_row", "_text"])
+
+    cut_rows = marked.mapInArrow(cut, T.StructType([T.StructField("_row", marked.schema["_row"].dataType), T.StructField("_text", T.StringType())]))
+    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
+    return cut_rows.select(*(new.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns))
