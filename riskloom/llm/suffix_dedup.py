@@ -158,7 +158,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] = (4
     if shards is None:
         size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
         shards = max(width, -(-size // SHARD))
-    levels = (*grams, length)
+    levels = (*(g for g in grams if g < length), length)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 4 << 20):
