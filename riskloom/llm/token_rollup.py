@@ -110,22 +110,20 @@ class Rollup:
         return summed.where("docs <> 0 OR tokens <> 0")
 
 
-def corpus_totals(docs: DataFrame, labels: DataFrame, version: str = "byte_bpe_50k", folder: str = TOKENIZERS, clean: Column | None = None) -> DataFrame:
-    """Totals after three batches over a corpus: all documents enter; those labelled toxic are revised to
-    ``clean`` (by default the lower-cased text); those labelled of low quality leave with the count they
-    have then. Every batch is sent twice, as after a lost acknowledgement.
+def corpus_totals(docs: DataFrame, labels: DataFrame, version: str = "byte_bpe_50k", folder: str = TOKENIZERS, revise: Column | None = None) -> DataFrame:
+    """Totals after three batches over a corpus: all documents enter; those that ``revise`` selects (by default
+    the German ones) are counted anew with lower-cased text; those labelled of low quality leave with the
+    count they have then. Every batch is sent twice, as after a lost acknowledgement.
+
+    The revised texts are picked where they are read; labels meet counts only, so no text is shuffled.
     """
     spark = docs.sparkSession
-    flags = labels.groupBy(F.col("doc_id").alias("l_id")).agg(F.max(F.col("toxic") == 1).alias("toxic"), F.max(F.col("quality") == 0).alias("poor"))
-    flags = materialize(flags, "token-flags")
-    toxic, poor = flags.where("toxic").select("l_id"), flags.where("poor").select("l_id")
+    chosen = F.coalesce(F.col("lang") == "de" if revise is None else revise, F.lit(False))
+    poor = labels.where("quality = 0").select(F.col("doc_id").alias("l_id")).distinct()
     counts = materialize(count_tokens(docs, version, folder), "token-counts")
-    new_text = F.lower("text") if clean is None else clean
-    marked = docs.join(toxic, F.col("doc_id") == F.col("l_id"), "left_semi").withColumn("text", new_text)
-    after = materialize(count_tokens(marked, version, folder), "token-revised")
-    before = counts.join(toxic, F.col("doc_id") == F.col("l_id"), "left_semi")
-    current = counts.join(toxic, F.col("doc_id") == F.col("l_id"), "left_anti").unionByName(after)
-    gone = current.join(poor, F.col("doc_id") == F.col("l_id"), "left_semi")
+    after = materialize(count_tokens(docs.where(chosen).withColumn("text", F.lower("text")), version, folder), "token-revised")
+    before, rest = counts.where(chosen), counts.where(~chosen)
+    gone = rest.unionByName(after).join(poor, F.col("doc_id") == F.col("l_id"), "left_semi")
     rollup = Rollup(spark, f"{shared_dir(spark)}/riskloom/rollup-{uuid.uuid4().hex}")
     feed: Sequence[tuple[str, DataFrame]] = (("1-insert", inserted(counts)), ("2-revise", revised(before, after)), ("3-delete", deleted(gone)))
     for batch, changes in feed:
