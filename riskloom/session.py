@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,26 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for the tables that :func:`materialize` writes inside the block, removed at its end.
+
+    For plans whose result is written elsewhere; a DataFrame that leaves the block must not read
+    from inside it.
+    """
+    path = f"{shared_dir(spark)}/riskloom/run-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.remove(path)
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -51,6 +73,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     sort-merge join with run-time skew splitting otherwise. No broadcast hint is used anywhere.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/riskloom/{label}-{uuid.uuid4().hex}"
+    folder = _SCRATCH[-1] if _SCRATCH else f"{shared_dir(spark)}/riskloom"
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
