@@ -10,7 +10,8 @@ from riskloom.functions.exprs import flag
 from riskloom.operators import encoding as E
 from riskloom.operators import folds as D
 from riskloom.operators import ranking as R
-from riskloom.operators.selection import correlated_columns, correlations, top_rows
+from riskloom.operators.selection import correlated_with_earlier, correlations, top_rows
+from riskloom.session import materialize
 
 SEED, FOLDS = 42, 5
 
@@ -248,9 +249,10 @@ def corr_filter(spark, root):
         (F.col("l_quantity") * 2 + F.col("l_tax")).alias("quantity2"),
         F.when(F.col("l_suppkey") % 3 != 0, -F.col("l_discount") * 5 + F.col("l_tax") / 50).alias("neg_discount"),
     )
-    dropped = set(correlated_columns(li, li.columns))
     names = F.array(*(F.lit(c) for c in li.columns))
-    pairs = correlations(li, li.columns).select(
+    found = materialize(correlations(li, li.columns), "correlations")
+    dropped = {li.columns[j] for j in correlated_with_earlier(found)}
+    pairs = found.select(
         F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), "corr"
     )
     return rounded(pairs.withColumn("b_dropped", flag(F.col("b").isin(sorted(dropped)))))

@@ -52,16 +52,19 @@ def global_stats(df: DataFrame, exprs: Sequence[Column], max_width: int = MAX_WI
 
 
 def category_values(df: DataFrame, cols: Sequence[str], max_values: int = 2000) -> dict[str, list[str]]:
-    """Sorted distinct non-null values per text column, found in one job.
+    """Sorted distinct non-null values per text column.
 
-    They name output columns, so more than ``max_values`` in total is an error, never a cut-off.
+    They name output columns, so more than ``max_values`` in one column is an error that names it, never a
+    cut-off; nothing is collected before all columns are known to be within it.
     """
     if not cols:
         return {}
     long = df.select(*(F.col(c).cast("string").alias(c) for c in cols)).unpivot([], list(cols), "col", "val")
-    found = long.where(F.col("val").isNotNull()).distinct().limit(max_values + 1).collect()
-    if len(found) > max_values:
-        raise ValueError(f"more than {max_values} category values in {list(cols)}; pass the values to keep")
+    values = long.where(F.col("val").isNotNull()).distinct()
+    wide = values.groupBy("col").count().where(F.col("count") > max_values).collect()
+    if wide:
+        raise ValueError(f"more than {max_values} category values in {sorted(r['col'] for r in wide)}; pass the values to keep")
+    found = values.collect()
     return {c: sorted(r["val"] for r in found if r["col"] == c) for c in cols}
 
 
