@@ -1,5 +1,7 @@
 """Every query with SQL gives the same rows as that SQL; the others run and keep their keys."""
 
+import os
+
 import pytest
 
 from compare import connect, mismatch
@@ -7,10 +9,11 @@ from compare import connect, mismatch
 from riskloom import catalog
 
 QUERIES, ORACLES = catalog.queries(), catalog.oracles()
-SLOW = {"prepare_bundle", "train_ensemble"}
+# The two whole plans fit dozens of models; ``RISKLOOM_SLOW=1`` adds them.
+SLOW = set() if os.environ.get("RISKLOOM_SLOW") else {"prepare_bundle", "train_ensemble"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
 def test_matches_sql(spark, small, name):
     assert mismatch(QUERIES[name](spark, small), connect(small), ORACLES[name]) is None
 
