@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+if sys.platform == "linux":
+    # Large arrays are given back to the system as soon as they are freed, so that a worker that goes on
+    # to another stage does not keep the peak of the last one. -3 is M_MMAP_THRESHOLD.
+    ctypes.CDLL(None).mallopt(-3, 1 << 20)
+
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -50,9 +57,10 @@ class Words:
         before[heads] = False
         kept = solid | before  # one blank after each word stays
         begins = np.flatnonzero(solid & ~before)
-        place = np.cumsum(kept) - 1
+        place = np.cumsum(kept, dtype=np.int32) - 1
         self.first = np.searchsorted(begins, offs)
-        self.start = place[begins]
+        self.start = place[begins].astype(np.int64)
+        del place
         data = raw[kept]
         blank = _BLANK[data]
         data[blank] = 0x20

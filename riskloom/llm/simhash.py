@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.llm.buffers import Words, slices
 from riskloom.llm.components import components
+from riskloom.llm.spans import small_batches
 from riskloom.session import materialize
 
 BITS = 64
@@ -52,7 +53,7 @@ def with_fingerprint(docs: DataFrame, shingle: int, keep: tuple[str, ...] = ("do
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema) + ", fp bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "_text"):
+        for b in slices(batches, "_text", 3 << 20):
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(fingerprints(b.column("_text"), shingle))], [*keep, "fp"])
 
     return source.mapInArrow(run, schema)
@@ -152,7 +153,8 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
     """
     fps = fps.select("fp").distinct()
     n, parts, most = fps.count(), radius + 1, radius + 4
-    while parts < most and n > 256 * 2 ** (BITS * (parts - radius) // parts):
+    bits = lambda p: BITS * (p - radius) // p  # noqa: E731  of a key
+    while parts < most and (bits(parts) < 12 or n > 256 * 2 ** bits(parts)):
         parts += 1
     found = None
 
@@ -201,7 +203,8 @@ def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame
     the result each. Null ids never name a component: one made of null ids has a null name. An
     empty table gives an empty result; other columns are ignored.
     """
-    marked = materialize(with_fingerprint(docs, shingle), "fingerprints")
+    with small_batches(docs.sparkSession):
+        marked = materialize(with_fingerprint(docs, shingle), "fingerprints")
     nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-nodes")
     joined = components(links(nodes, radius))
     rooted = nodes.join(joined, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))

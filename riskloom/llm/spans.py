@@ -2,9 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Whole texts and packed strings go to tasks in batches of so many rows, while tables are written inside."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
 
 #: What stands for a null id inside tasks; ``doc_key`` keeps such rows apart from a real id of this value.
 NO_ID = -(1 << 63)

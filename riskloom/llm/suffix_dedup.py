@@ -15,15 +15,16 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskloom.llm.buffers import slices, text_bytes
 from riskloom.llm.induced_sort import suffix_order
-from riskloom.llm.spans import attach, by_document, decode, keyed, rows
+from riskloom.llm.spans import attach, by_document, decode, keyed, rows, small_batches
 from riskloom.llm.super_kmers import rolling, sliding_min
 from riskloom.session import materialize
 
 #: Random but fixed: what each byte counts in a hash.
 _BYTE = np.random.default_rng(8).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
-#: Bytes of text for one shard; bytes of strings above which a shard is dealt anew; bytes sorted at once.
-SHARD, MOST, SORTED = 2 << 20, 32 << 20, 1 << 20
+#: Bytes of text for one shard; bytes of strings above which a shard is dealt anew, or a group of one
+#: hash; bytes sorted at once.
+SHARD, MOST, GROUP, SORTED = 1 << 20, 8 << 20, 1 << 19, 1 << 18
 _SCHEMA = "shard bigint, kind int, doc bigint, doc_key bigint, payload binary"
 _PACKED, _SPANS = 0, 1
 
@@ -115,6 +116,15 @@ def unpack(payloads: Sequence[bytes]) -> tuple[Strings, np.ndarray]:
     return Strings(np.frombuffer(b"".join(bodies), np.uint8), first, doc, key, at), least
 
 
+def cut_at(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours whose sizes add up to at most ``most``, or single ones."""
+    ends, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, side="right")))
+        yield a, b
+        a = b
+
+
 def repeated_in(strings: Strings, length: int) -> list[tuple[int, int, bytes]]:
     """Spans of the windows that occur twice in a shard: neighbours in suffix order that agree on ``length`` bytes."""
     n = len(strings.doc)
@@ -161,7 +171,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] = (4
     levels = (*(g for g in grams if g < length), length)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 4 << 20):
+        for b in slices(batches, "text", 2 << 20):
             raw, offs = text_bytes(b.column("text"))
             strings = Strings(raw, offs, np.asarray(b.column("doc")), np.asarray(b.column("doc_key")), np.zeros(b.num_rows, np.int64))
             strings, _, spans = settle_copies(strings, length)
@@ -174,28 +184,38 @@ def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] = (4
         def settle(split: bool) -> Iterator[pa.RecordBatch]:
             strings, least = unpack(held)
             strings, kept, spans = settle_copies(strings, length)
+            size = np.diff(strings.first)
+            yield _emit([], spans, 1)
             if split:
-                begin, stop, key = runs(strings, length, levels[level + 1])
-                yield _emit(pack(strings, begin, stop, key, now * 64 + (key % np.uint64(64)).astype(np.int64)), spans, 1)
+                yield from deal(strings, np.arange(len(size)))
                 return
             # Two equal windows have the smallest hash at two places: of two strings, or of one.
             least = least[kept].view(np.uint64)
             _, member, counts = np.unique(least, return_inverse=True, return_counts=True)
-            hashes = rolling(_BYTE[strings.data], levels[level], _BASE)
-            size = np.diff(strings.first)
-            place = np.flatnonzero(hashes == np.repeat(least, size)[: len(hashes)])
-            inside = np.bincount(np.searchsorted(strings.first, place, side="right") - 1, minlength=len(size))
+            inside = np.zeros(len(size), np.int64)
+            for a, b in cut_at(size, 1 << 20):
+                part = strings.data[strings.first[a] : strings.first[b]]
+                hashes = rolling(_BYTE[part], levels[level], _BASE)
+                place = np.flatnonzero(hashes == np.repeat(least[a:b], size[a:b])[: len(hashes)]) + strings.first[a]
+                inside += np.bincount(np.searchsorted(strings.first, place, side="right") - 1, minlength=len(size))[: len(size)]
             shared = np.flatnonzero((counts[member] > 1) | (inside > 1))
             shared = shared[np.argsort(member[shared], kind="stable")]
-            yield _emit([], spans, 1)
-            group, sizes = member[shared], size[shared]
-            a = 0
-            while a < len(shared):
-                full = a + int(np.searchsorted(np.cumsum(sizes[a:]), SORTED, side="right"))
-                b = max(full, a + 1)
-                b = int(np.searchsorted(group, group[b - 1], side="right"))
-                yield _emit([], repeated_in(strings.take(shared[a:b]), length), 1)
-                a = b
+            group = np.flatnonzero(np.append(True, member[shared][1:] != member[shared][:-1])) if len(shared) else np.zeros(0, np.int64)
+            ends = np.append(group[1:], len(shared))
+            sizes = np.add.reduceat(size[shared], group) if len(shared) else np.zeros(0, np.int64)
+            large = (sizes > GROUP) & (level + 1 < len(levels))
+            for a, b in zip(group[large], ends[large]):
+                yield from deal(strings, shared[a:b])
+            group, ends, sizes = group[~large], ends[~large], sizes[~large]
+            for a, b in cut_at(sizes, SORTED):
+                which = np.concatenate([shared[x:y] for x, y in zip(group[a:b], ends[a:b])])
+                yield _emit([], repeated_in(strings.take(which), length), 1)
+
+        def deal(strings: Strings, which: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for a, b in cut_at(np.diff(strings.first)[which], 1 << 20):
+                some = strings.take(which[a:b])
+                begin, stop, key = runs(some, length, levels[level + 1])
+                yield _emit(pack(some, begin, stop, key, now * 64 + (key % np.uint64(64)).astype(np.int64)), [], 1)
 
         for batch in batches:
             settled = batch.filter(pc.equal(batch.column("kind"), _SPANS))
@@ -218,7 +238,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] = (4
     left, found = keyed(docs).mapInArrow(scan, _SCHEMA), None
     for level in range(len(levels)):
         sent = left.repartition(width, "shard").sortWithinPartitions("shard").mapInArrow(functools.partial(sort, level=level), _SCHEMA)
-        sent = materialize(sent, "suffix-spans")
+        with small_batches(spark):
+            sent = materialize(sent, "suffix-spans")
         spans = sent.where(F.col("kind") == _SPANS).select("doc", "doc_key", "payload")
         found = spans if found is None else found.union(spans)
         left = sent.where(F.col("kind") == _PACKED)

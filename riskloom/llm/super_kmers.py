@@ -16,12 +16,12 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.buffers import Words, slices
-from riskloom.llm.spans import attach, by_document, decode, keyed, rows
+from riskloom.llm.spans import attach, by_document, decode, keyed, rows, small_batches
 from riskloom.session import materialize
 
 _ROLL, _GRAM = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: Bytes of text for one bucket, and the bytes of packed strings above which a bucket is dealt anew.
-BUCKET, MOST = 2 << 20, 24 << 20
+BUCKET, MOST = 1 << 20, 10 << 20
 _SCHEMA = "bucket bigint, kind int, doc bigint, doc_key bigint, payload binary"
 _PACKED, _SPANS = 0, 1
 
@@ -186,7 +186,7 @@ def repeated_spans(docs: DataFrame, width: int = 20, gram: int = 5, buckets: int
         buckets = max(width_out, -(-size // BUCKET))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", 4 << 20):
             words = Words(b.column("text"))
             doc, key = np.asarray(b.column("doc")), np.asarray(b.column("doc_key"))
             order = np.lexsort((key, doc))
@@ -210,19 +210,19 @@ def repeated_spans(docs: DataFrame, width: int = 20, gram: int = 5, buckets: int
     def count(batches: Iterator[pa.RecordBatch], used: int) -> Iterator[pa.RecordBatch]:
         now, held, size, dealt = None, [], 0, False
 
-        def settle(split: bool) -> pa.RecordBatch:
+        def settle(split: bool) -> Iterator[pa.RecordBatch]:
             strings = unpack(held)
             begins, later, hashes = strings.repeats(width)
             own = strings.owner(begins)
             gone = own[later]
             spans = by_document(strings.doc[gone], strings.key[gone], strings.at[gone] + begins[later] - strings.first[gone], width)
-            packed = []
-            if split and not later.all():
-                first = begins[~later]
-                # Six bits of the hash that no earlier round has used.
-                part = (hashes[~later] >> np.uint64(58 - 6 * used)).astype(np.int64) & 63
-                packed = pack(strings, first, first + width, now * 64 + part)
-            return _emit(packed, spans, 1)
+            yield _emit([], spans, 1)
+            first = begins[~later] if split else begins[:0]
+            # Six bits of the hash that no earlier round has used.
+            part = (hashes[~later] >> np.uint64(58 - 6 * used)).astype(np.int64) & 63
+            for at in range(0, len(first), 100_000):
+                some = first[at : at + 100_000]
+                yield _emit(pack(strings, some, some + width, now * 64 + part[at : at + 100_000]), [], 1)
 
         for batch in batches:
             settled = batch.filter(pc.equal(batch.column("kind"), _SPANS))
@@ -231,21 +231,22 @@ def repeated_spans(docs: DataFrame, width: int = 20, gram: int = 5, buckets: int
             for bucket, payload in zip(batch.column("bucket").to_pylist(), batch.column("payload").to_pylist()):
                 if bucket != now:
                     if held:
-                        yield settle(dealt)
+                        yield from settle(dealt)
                     now, held, size, dealt = bucket, [], 0, False
                 held.append(payload)
                 size += zstandard.frame_content_size(payload)
                 if size > MOST:
                     dealt = True
-                    yield settle(True)
+                    yield from settle(True)
                     held, size = [], 0
         if held:
-            yield settle(dealt)
+            yield from settle(dealt)
 
     left, found = keyed(docs).mapInArrow(scan, _SCHEMA), None
     for used in itertools.count():
         sent = left.repartition(width_out, "bucket").sortWithinPartitions("bucket").mapInArrow(functools.partial(count, used=used), _SCHEMA)
-        sent = materialize(sent, "window-spans")
+        with small_batches(spark):
+            sent = materialize(sent, "window-spans")
         spans = sent.where(F.col("kind") == _SPANS).select("doc", "doc_key", "payload")
         found = spans if found is None else found.union(spans)
         left = sent.where(F.col("kind") == _PACKED)
@@ -264,7 +265,7 @@ def drop_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", 4 << 20):
             words = Words(b.column("text"))
             data = words.data.tobytes()
             n, removed, kept = np.diff(words.first), [], []

@@ -68,7 +68,8 @@ def test_overfull_buckets_are_dealt_anew(spark, monkeypatch):
     want = sorted(map(tuple, super_kmers.drop_repeats(df).collect()))
     bytes_ = sorted(map(tuple, suffix_dedup.drop_repeats(df, 100).collect()))
     monkeypatch.setattr(super_kmers, "MOST", 2000)
-    monkeypatch.setattr(suffix_dedup, "MOST", 2000)
+    monkeypatch.setattr(suffix_dedup, "MOST", 9000)
+    monkeypatch.setattr(suffix_dedup, "GROUP", 1500)
     assert sorted(map(tuple, super_kmers.drop_repeats(df).collect())) == want
     assert sorted(map(tuple, suffix_dedup.drop_repeats(df, 100).collect())) == bytes_
 
