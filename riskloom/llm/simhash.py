@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskloom.llm import near_copies
 from riskloom.llm.buffers import Words, slices
 from riskloom.llm.components import components
 from riskloom.llm.spans import small_batches
@@ -214,13 +215,13 @@ def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 5, radius: int = 7) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """The documents without those that have a smaller id in their group; all columns unchanged.
 
-    Five-word shingles; a radius of 7 of 64 bits stands for a cosine of about 0.94 between shingle
-    counts, so what is dropped is well above a similarity of 0.8 to a link of its group. Rows
-    without an id stay, and rows that repeat an id stay or go together.
+    Groups are formed by verified similarity of shingle sets, not by fingerprints: a fingerprint
+    distance that keeps most pairs at ``least`` also links many below it. Rows without an id stay,
+    and rows that repeat an id stay or go together.
     """
-    groups = near_groups(docs.select("doc_id", "text"), shingle, radius)
+    groups = near_copies.near_groups(docs.select("doc_id", "text"), shingle, least)
     gone = materialize(groups.where("component_id < doc_id").select("doc_id").distinct(), "near-copies")
     return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
