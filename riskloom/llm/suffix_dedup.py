@@ -150,7 +150,7 @@ def _emit(packed: list[tuple[int, bytes]], spans: list[tuple[int, int, bytes]],
     })
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] = (48, 128, 256), shards: int | None = None) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] | None = None, shards: int | None = None) -> DataFrame:
     """Byte ranges covered by strings of ``length`` bytes that start elsewhere too: ``doc, doc_key, payload``.
 
     Strings of ``length`` bytes that are equal have the same smallest ``grams[0]``-byte hash. So
@@ -161,8 +161,9 @@ def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] = (4
 
     A shard that outgrows ``MOST`` bytes is not held: its distinct runs are cut anew by the
     smallest hash of the next, longer gram, and in the end by the window itself, which parts
-    whatever is not equal.
+    whatever is not equal. Grams are 48, 128 and 256 bytes for 400, and in proportion for others.
     """
+    grams = grams or [max(1, g * length // 400) for g in (48, 128, 256)]
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if shards is None:
