@@ -58,10 +58,11 @@ class Texts:
         self.doc = np.searchsorted(offs, start, side="right") - 1
         part = np.cumsum(kind == _BREAK, dtype=np.int64)[start] if len(start) else start
         fresh = np.append(True, (part[1:] != part[:-1]) | (self.doc[1:] != self.doc[:-1]))[: len(start)]
-        last = np.append(np.flatnonzero(fresh)[1:], len(start))
-        self.room = np.repeat(last, np.diff(np.append(np.flatnonzero(fresh), len(start)))) - np.arange(len(start))
+        first = np.flatnonzero(fresh)
+        past = np.append(first[1:], len(start))[: len(first)]
+        self.room = np.repeat(past, past - first) - np.arange(len(start))
         sizes = end - start
-        keep = np.repeat(start - np.append(0, np.cumsum(sizes)[:-1]), sizes) + np.arange(int(sizes.sum()))
+        keep = np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
         listed = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(start), [None, pa.py_buffer(np.append(0, np.cumsum(sizes)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw[keep]))]
         )
