@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections import Counter
 from collections.abc import Callable, Iterator
 from math import floor, sqrt
@@ -41,96 +42,126 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Texts:
-    """Words of a batch with, for each, how many words its piece still has from it on, and hashes of the phrases there."""
+    """Words of a batch with, for each, how many words its piece still has from it on, and keys of the phrases there."""
 
     def __init__(self, column: pa.Array, langs: list[str]):
         raw, offs = text_bytes(column)
         raw = LOWER[raw]
         kind = _KIND[raw]
         solid = kind == 0
-        before = np.append(False, solid[:-1])
+        edge = np.append(False, solid[1:] != solid[:-1])
         heads = offs[:-1][offs[:-1] < len(raw)]
-        before[heads] = False
-        start = np.flatnonzero(solid & ~before)
-        after = np.append(solid[1:], False)
-        after[heads[heads > 0] - 1] = False
-        end = np.flatnonzero(solid & ~after) + 1
+        edge[heads] = True
+        edges = np.append(np.flatnonzero(edge), len(raw))
+        opens = np.flatnonzero(solid[edges[:-1]])
+        start, sizes = edges[opens], edges[opens + 1] - edges[opens]
         self.doc = np.searchsorted(offs, start, side="right") - 1
-        part = np.cumsum(kind == _BREAK, dtype=np.int64)[start] if len(start) else start
+        breaks = np.flatnonzero(kind == _BREAK)
+        part = np.searchsorted(breaks, start)
         fresh = np.append(True, (part[1:] != part[:-1]) | (self.doc[1:] != self.doc[:-1]))[: len(start)]
         first = np.flatnonzero(fresh)
         past = np.append(first[1:], len(start))[: len(first)]
         self.room = np.repeat(past, past - first) - np.arange(len(start))
-        sizes = end - start
-        keep = np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-        listed = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(start), [None, pa.py_buffer(np.append(0, np.cumsum(sizes)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw[keep]))]
-        )
+        ends = np.append(0, np.cumsum(sizes)).astype(np.int64)
+        listed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw[solid]))])
         coded = listed.dictionary_encode()
         self.ids = np.asarray(coded.indices)
         self.words: list[bytes] = coded.dictionary.to_pylist()
-        hashed = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.words), np.uint64, len(self.words))
+        hashed = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
         self.hashes = hashed[self.ids] if len(self.ids) else np.zeros(0, np.uint64)
         self.langs = langs
-        named = {name: xxhash.xxh64_intdigest(name.encode(), 7) for name in set(langs)}
-        self.tongue = np.array([named[x] for x in langs], np.uint64)
+        self.tongue = np.array([_tongue(x) for x in langs], np.uint64)
 
-    def keys(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """``length, places, key``: where phrases of each length start, and at every word the key of the one there."""
-        key = _mix(self.hashes ^ self.tongue[self.doc]) if len(self.ids) else self.hashes
-        for length in range(1, longest + 1):
-            if length > 1:
-                key = _mix(key[:-1] * _STEP + self.hashes[length - 1 :])
-            yield length, np.flatnonzero(self.room[: len(key)] >= length), key
+    def words_at(self) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all words and their keys."""
+        return np.arange(len(self.ids)), _mix(self.hashes ^ self.tongue[self.doc])
 
-    def phrases(self, length: int, places: np.ndarray, key: np.ndarray) -> Iterator[tuple[tuple[str, bytes], int]]:
-        """Count of every phrase of ``length`` words at ``places``; equal keys are one phrase only if their words are."""
-        _, lead, which = np.unique(key[places], return_index=True, return_inverse=True)
-        first = places[lead][which]
-        same = np.ones(len(places), bool)
-        for j in range(length):
-            same &= self.ids[places + j] == self.ids[first + j]
-        same &= self.tongue[self.doc[places]] == self.tongue[self.doc[first]]
-        counts = np.bincount(which[same], minlength=len(lead)) if len(places) else which
-        for at, n in zip(places[lead].tolist(), counts.tolist()):
-            yield self.named(length, at), n
-        for at in places[~same].tolist():
-            yield self.named(length, at), 1
+    def longer(self, places: np.ndarray, keys: np.ndarray, length: int, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the ``places`` whose phrase of ``length - 1`` words has a ``part`` mark at the next place too, those
+        with one more word in their piece, and the keys of the phrases of ``length`` words there."""
+        follows = np.append(places[1:] == places[:-1] + 1, False)
+        follows[:-1] &= part[1:]
+        stay = np.flatnonzero(part & follows & (self.room[places] >= length)) if len(places) else np.zeros(0, np.int64)
+        return places[stay], _mix(keys[stay] * _STEP + self.hashes[places[stay] + length - 1])
 
-    def named(self, length: int, at: int) -> tuple[str, bytes]:
-        return self.langs[self.doc[at]], b" ".join([self.words[i] for i in self.ids[at : at + length].tolist()])
+    def named(self, length: int, at: int) -> tuple[str, str]:
+        return self.langs[self.doc[at]], b" ".join([self.words[i] for i in self.ids[at : at + length].tolist()]).decode()
 
 
-class _Tally:
-    """Counts per key that leave a task in batches, so that what it holds has a bound."""
+@functools.cache
+def _tongue(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode(), 7)
+
+
+class _Counts:
+    """Sums per key, in sorted runs that are merged when they outgrow ``HELD``."""
 
     def __init__(self):
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
-        self.named: Counter[tuple[str, bytes]] = Counter()
 
-    def add(self, keys: np.ndarray) -> None:
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.runs.append((keys, counts))
+        self.size += len(keys)
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        key, counts = (np.concatenate(x) for x in zip(*self.runs))
+        order = np.argsort(key, kind="stable")
+        key, counts = key[order], counts[order]
+        head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        self.runs = [(key[head], np.add.reduceat(counts, head))]
+        self.size = len(head)
+        return self.runs[0]
+
+
+class _Tally:
+    """What a task counts, by key and by name; it leaves in batches, so that what is held has a bound."""
+
+    def __init__(self):
+        self.plain, self.known = _Counts(), _Counts()
+        self.names: dict[int, tuple[str, str]] = {}
+        self.sizes: Counter[str] = Counter()
+        self.strangers: Counter[tuple[str, str]] = Counter()
+
+    def count(self, keys: np.ndarray) -> None:
         if len(keys):
-            self.held.append(np.unique(keys, return_counts=True))
-            self.size += len(self.held[-1][0])
+            self.plain.add(*np.unique(keys, return_counts=True))
+
+    def count_named(self, texts: Texts, length: int, places: np.ndarray, keys: np.ndarray) -> None:
+        """In a batch, equal keys are one phrase only if their words are."""
+        if not len(places):
+            return
+        key, lead, which = np.unique(keys, return_index=True, return_inverse=True)
+        first = places[lead][which]
+        same = texts.tongue[texts.doc[places]] == texts.tongue[texts.doc[first]]
+        for j in range(length):
+            same &= texts.ids[places + j] == texts.ids[first + j]
+        self.known.add(key, np.bincount(which[same], minlength=len(key)))
+        for k, at in zip(key.tolist(), places[lead].tolist()):
+            if k not in self.names:
+                self.names[k] = texts.named(length, at)
+        for at in places[~same].tolist():
+            self.strangers[texts.named(length, at)] += 1
 
     def batches(self, end: bool) -> Iterator[pa.RecordBatch]:
-        if self.size > HELD or (end and self.size):
-            key, counts = (np.concatenate(x) for x in zip(*self.held))
-            order = np.argsort(key, kind="stable")
-            key, counts = key[order], counts[order]
-            head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            key, counts = key[head], np.add.reduceat(counts, head)
-            self.held, self.size = [(key, counts)], len(key)
-            if end or self.size > HELD // 2:
-                none = pa.nulls(len(key), pa.string())
-                yield pa.RecordBatch.from_arrays([none, none, pa.array(key.view(np.int64)), pa.array(counts.astype(np.int64))], ["lang", "phrase", "key", "n"])
-                self.held, self.size = [], 0
-        if len(self.named) > HELD // 8 or (end and self.named):
-            names, counts = zip(*self.named.items())
-            columns = [pa.array([x for x, _ in names], pa.string()), pa.array([p.decode() if p is not None else None for _, p in names], pa.string())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(names), pa.int64()), pa.array(counts, pa.int64())], ["lang", "phrase", "key", "n"])
-            self.named.clear()
+        if self.plain.size > HELD or (end and self.plain.size):
+            key, counts = self.plain.merged()
+            if end or self.plain.size > HELD // 2:
+                none = [None] * len(key)
+                yield _rows(none, none, key.view(np.int64), counts)
+                self.plain = _Counts()
+        if self.known.size > HELD:
+            self.known.merged()
+        if end or len(self.names) > HELD // 4:
+            key, counts = self.known.merged() if self.known.runs else (np.zeros(0, np.uint64),) * 2
+            names = [*(self.names[k] for k in key.tolist()), *self.strangers, *((lang, None) for lang in self.sizes)]
+            counts = [*counts.tolist(), *self.strangers.values(), *self.sizes.values()]
+            yield _rows([x for x, _ in names], [p for _, p in names], [None] * len(names), counts)
+            self.__init__()
+
+
+def _rows(langs, phrases, keys, counts) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], ["lang", "phrase", "key", "n"])
 
 
 def member_table(spark: SparkSession, keys: DataFrame) -> Broadcast:
@@ -167,7 +198,7 @@ def _scan(docs: DataFrame, count: Callable[[Texts, _Tally], None]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = _Tally()
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 3 << 20):
             count(Texts(b.column("text"), b.column("lang").to_pylist()), tally)
             yield from tally.batches(False)
         yield from tally.batches(True)
@@ -181,38 +212,32 @@ def _frequent(rows: DataFrame, least: int, label: str) -> DataFrame:
 
 
 def propose(sample: DataFrame, least: int, longest: int) -> DataFrame:
-    """``key`` of the phrases that occur ``least`` times in the sample, closed under taking parts.
+    """``key`` of the phrases that occur ``least`` times in the sample; with a phrase, its parts are there.
 
-    Words first, then pairs of kept words, then all longer phrases whose pairs were kept.
+    Words and pairs first, then all longer phrases whose pairs were kept.
     """
-    spark = sample.sparkSession
 
-    def words(texts: Texts, tally: _Tally) -> None:
-        _, places, key = next(texts.keys(1))
-        tally.add(key[places])
+    def short(texts: Texts, tally: _Tally) -> None:
+        places, keys = texts.words_at()
+        tally.count(keys)
+        tally.count(texts.longer(places, keys, 2, np.ones(len(places), bool))[1])
 
-    singles = _frequent(_scan(sample, words), least, "phrase-words")
-    table = member_table(spark, singles)
+    pairs = _frequent(_scan(sample, short), least, "phrase-short")
+    table = member_table(sample.sparkSession, pairs)
 
-    def pairs(texts: Texts, tally: _Tally) -> None:
+    def long(texts: Texts, tally: _Tally) -> None:
         has = members(table.value)
-        (_, _, key), (_, places, pair) = texts.keys(2)
-        kept = has(key)
-        tally.add(pair[places[kept[places] & kept[places + 1]]])
-
-    doubles = _frequent(_scan(sample, pairs), least, "phrase-pairs")
-    joint = member_table(spark, doubles)
-
-    def longer(texts: Texts, tally: _Tally) -> None:
-        has = members(joint.value)
-        for length, places, key in texts.keys(longest):
+        places, keys = texts.words_at()
+        part = has(keys)
+        for length in range(2, longest + 1):
+            places, keys = texts.longer(places, keys, length, part)
+            part = np.ones(len(places), bool)
             if length == 2:
-                link = chained = has(key)
-            elif length > 2:
-                chained = chained[:-1] & link[length - 2 :]
-                tally.add(key[places[chained[places]]])
+                part = has(keys)
+            else:
+                tally.count(keys)
 
-    return singles.union(doubles).union(_frequent(_scan(sample, longer), least, "phrase-longer"))
+    return pairs.union(_frequent(_scan(sample, long), least, "phrase-long")).distinct()
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sample: int = SAMPLE) -> tuple[DataFrame, DataFrame]:
@@ -220,54 +245,61 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
 
     One row in ``sample``, by hash, proposes phrases at a threshold two standard deviations below
     its share. The full pass counts the proposals by their words, and by 64-bit keys the negative
-    border: what occurs and is not proposed though all its parts are. Border phrases that reach
-    ``least`` are failures: the next pass counts them by their words, and the border that they open.
-    Passes go on until no failure is left, so the result does not depend on the sample. Keys that
-    two phrases share can only make a failure that the next pass finds to be none.
+    border: what occurs and is not proposed though its parts are. Border phrases that reach
+    ``least`` are failures. The expansion pass counts them by their words, and with them whatever
+    they open: phrases of any length all of whose parts are proposed, failed or so opened, not only
+    the next border. So what it counts is closed, and the result does not depend on the sample.
+    Keys that two border phrases share can only make a failure that the expansion finds to be none;
+    a task tells the phrases it names apart by key, and by words within a batch.
     """
     spark = docs.sparkSession
     source = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"), F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), "doc_id")
-    some = source.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0)
     share = 1 / sample
     lowered = max(1, floor(share * least - 2 * sqrt(share * (1 - share) * least)))
-    new = propose(some, lowered, longest)
-    # One table a pass: what passes a table by chance was counted by its words in that pass too.
-    known: list[Broadcast] = []
-    found = sizes = None
-    while True:
-        fresh = member_table(spark, new)
-
-        def count(texts: Texts, tally: _Tally, fresh=fresh, known=tuple(known)) -> None:
-            is_new, was = members(fresh.value), [members(t.value) for t in known]
-            if not known:
-                for lang, n in zip(texts.langs, np.bincount(texts.doc, minlength=len(texts.langs)).tolist()):
-                    tally.named[lang, None] += n
-            for length, places, key in texts.keys(longest):
-                done = np.zeros(len(key), bool)
-                for t in was:
-                    done |= t(key)
-                named = is_new(key) & ~done
-                here = places[~(named | done)[places]]
+    some = materialize(source.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0), "phrase-sample")
+    proposed = member_table(spark, propose(some, lowered, longest))
+
+    def full(texts: Texts, tally: _Tally) -> None:
+        for lang, n in zip(texts.langs, np.bincount(texts.doc, minlength=len(texts.langs)).tolist()):
+            tally.sizes[lang] += n
+        has = members(proposed.value)
+        places, keys = texts.words_at()
+        for length in range(1, longest + 1):
+            if length > 1:
+                places, keys = texts.longer(places, keys, length, part)
+            part = has(keys)
+            tally.count_named(texts, length, places[part], keys[part])
+            tally.count(keys[~part])
+
+    counts = _exact(source, full, least)
+    found, sizes = counts.where("phrase IS NOT NULL"), counts.where("phrase IS NULL AND key IS NULL").select("lang", "n")
+    failures = counts.where("key IS NOT NULL").select("key")
+    if not failures.isEmpty():
+        failed = member_table(spark, failures)
+
+        def expansion(texts: Texts, tally: _Tally) -> None:
+            old, fails = members(proposed.value), members(failed.value)
+            places, keys = texts.words_at()
+            for length in range(1, longest + 1):
+                opened = np.zeros(len(places), bool)
                 if length > 1:
-                    # A phrase can be frequent only if both its parts are; one of them must be new.
-                    border = here[member[here] & member[here + 1] & (opened[here] | opened[here + 1])]
-                else:
-                    border = here[: 0 if known else None]
-                tally.add(key[border])
-                for name, n in texts.phrases(length, places[named[places]], key):
-                    tally.named[name] += n
-                member, opened = named | done, named
-
-        with small_batches(spark):
-            counts = _scan(source, count).groupBy("lang", "phrase", "key").agg(F.sum("n").alias("n"))
-            counts = materialize(counts.where((F.col("n") >= least) | (F.col("phrase").isNull() & F.col("key").isNull())), "phrase-counts")
-        here = counts.where("phrase IS NOT NULL").select("lang", "phrase", F.col("n").alias("f"))
-        found = here if found is None else found.union(here)
-        sizes = sizes or counts.where("phrase IS NULL AND key IS NULL").select("lang", "n")
-        known.append(fresh)
-        new = counts.where("key IS NOT NULL").select("key")
-        if new.isEmpty():
-            return found, sizes
+                    fresh = np.zeros(len(texts.ids) + 1, bool)
+                    fresh[places] = new
+                    places, keys = texts.longer(places, keys, length, was | new)
+                    opened = fresh[places] | fresh[places + 1]
+                was = ~opened & old(keys)
+                new = opened | (~was & fails(keys))
+                tally.count_named(texts, length, places[new], keys[new])
+
+        found = found.union(_exact(source, expansion, least).where("phrase IS NOT NULL"))
+    return found.select("lang", "phrase", F.col("n").alias("f")), sizes
+
+
+def _exact(source: DataFrame, count: Callable[[Texts, _Tally], None], least: int) -> DataFrame:
+    """Sums of a pass over all texts: names and keys that reach ``least``, and the sizes of the languages."""
+    with small_batches(source.sparkSession):
+        sums = _scan(source, count).groupBy("lang", "phrase", "key").agg(F.sum("n").alias("n"))
+        return materialize(sums.where((F.col("n") >= least) | (F.col("phrase").isNull() & F.col("key").isNull())), "phrase-counts")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP) -> DataFrame:
