@@ -38,7 +38,7 @@ ROLES = {
         FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id""",
     "application": """
         SELECT c_custkey AS SK_ID_CURR,
-               CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS TARGET,
+               CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_acctbal + c_custkey * 7919 % 6000 < 2500 THEN 1 ELSE 0 END AS TARGET,
                CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE (c_custkey * 37 % 1000) / 1000e0 END AS EXT_SOURCE_1,
                CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE (c_custkey * 71 % 997 + floor(c_acctbal / 20)) / 2000e0 END AS EXT_SOURCE_2,
                CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE (c_custkey * 13 % 991) / 1000e0 END AS EXT_SOURCE_3,

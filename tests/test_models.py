@@ -1,15 +1,9 @@
-"""Boosting that boosts, and faults that the SQL checks do not reach."""
-
-from dataclasses import replace
+"""Faults that the SQL checks do not reach."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.catalog.roles import role
-from riskloom.config import MODEL_PRESETS, ROW_MODEL
-from riskloom.operators import modelling as M
-from riskloom.operators.joins import IS_TRAIN
-from riskloom.operators.ranking import auc_value
 from riskloom.operators.selection import correlations
 from riskloom.plans import children
 from riskloom.plans.ensemble import _content
@@ -17,30 +11,6 @@ from riskloom.session import materialize, scratch
 from riskloom.sources.checkpoints import RunStore
 
 
-@pytest.fixture(scope="module")
-def planted(spark):
-    df = spark.range(4000).selectExpr("id", "id % 4 <> 0 AS is_train", "rand(1) AS a", "rand(2) AS b", "rand(3) AS c", "0 * id + 1 AS fold")
-    df = df.withColumn("y", (F.col("a") + 0.5 * F.col("b") + 0.2 * F.randn(5) > 0.9).cast("int"))
-    return M.model_table(df, ["id", IS_TRAIN, "y", "fold"], ["a", "b", "c"])
-
-
-@pytest.mark.parametrize("preset", [*MODEL_PRESETS, ROW_MODEL], ids=lambda p: p.name)
-def test_presets_grow_more_than_ten_trees_and_learn(planted, preset):
-    (model,) = M.fit_folds(planted, ["a", "b", "c"], "y", "id", 1, replace(preset, max_iter=24))
-    assert model.stages[-1].getNumTrees > 10
-    held = M.predict_folds(planted, [model], "p").where(~F.col(IS_TRAIN))
-    assert auc_value(held, "p", "y") > 0.7
-    counts = M.split_counts(model, 3)
-    assert counts[0] > 0 and counts.sum() >= model.stages[-1].getNumTrees
-
-
-
-def test_many_labels_are_an_error(spark, monkeypatch):
-    monkeypatch.setattr(M, "MAX_LABELS", 5)
-    with pytest.raises(ValueError, match="more than 5 labels.*kind"):
-        M.index_texts(spark.range(9).selectExpr("CAST(id AS STRING) AS kind"), ["kind"])
-
-
 def test_correlation_of_columns_that_start_with_nulls(spark):
     df = spark.range(3000).selectExpr("CASE WHEN id > 600 THEN 1e9 + id END AS a", "CASE WHEN id > 600 THEN 2e9 + id END AS b").coalesce(1)
     assert [r["corr"] for r in correlations(df, ["a", "b"]).collect()] == [pytest.approx(1.0)]
@@ -57,6 +27,7 @@ def test_other_data_does_not_resume_a_run(spark, tmp_path):
     a, b = spark.range(10).toDF("k"), spark.range(1, 11).toDF("k")
     roots = {RunStore(spark, str(tmp_path), {"data": _content(df)}).root for df in (a, a.repartition(3), b)}
     assert len(roots) == 2
+    assert _content(a.union(a)) != _content(b.union(b))
 
 
 def test_scratch_tables_go_at_the_end(spark):
