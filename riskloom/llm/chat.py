@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
 
 
-def rotate(turns: DataFrame, part_turns: int = 512) -> DataFrame:
+def rotate(turns: DataFrame, part_turns: int | None = None) -> DataFrame:
     """Dialogues as seen by each of their participants: ``conv_id, part, participant, n_turns, text, mask, mask_chars``.
 
     ``turns`` is ``conv_id, turn, role, text``. For every participant the whole dialogue is rendered
@@ -16,24 +16,24 @@ def rotate(turns: DataFrame, part_turns: int = 512) -> DataFrame:
     ``start:end`` of the text (0-based, end excluded) that carry loss: what the participant says
     and its end mark.
 
-    A dialogue longer than ``part_turns`` turn numbers is rendered in parts, so one conversation
-    that holds most rows is spread over many rows and tasks; each part has the perspectives of
-    those who speak in it.
+    A rendering is one row, so a task holds a dialogue whole. ``part_turns``, off by default, cuts
+    dialogues by row position into parts of so many turns, for any that no row can hold: every
+    participant of the dialogue gets every part, and system turns of earlier parts come first in it.
 
     Turns with equal numbers are ordered by role and text, repeated rows are kept. A null turn
-    comes first, in part 0; a null role speaks as ``unknown``; a null text is empty. Null
-    conversations form one conversation. Marks inside texts are broken up by a space. A part with
-    system turns only gives no row, and neither does an empty table. Other columns are ignored.
+    comes first; a null role speaks as ``unknown``; a null text is empty. Null conversations form
+    one conversation. Marks inside texts are broken up by a space. A dialogue with system turns
+    only gives no row, and neither does an empty table. Other columns are ignored.
     """
     role = F.coalesce(F.col("role"), F.lit("unknown"))
     said = F.replace(F.coalesce(F.col("text"), F.lit("")), F.lit("<|im_"), F.lit("<| im_"))
-    rows = turns.select(
-        "conv_id", F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(0)).cast("long").alias("part"),
-        F.struct(F.col("turn").alias("turn"), role.alias("role"), said.alias("said")).alias("t"),
-    )
-    parts = rows.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    speakers = F.array_distinct(F.filter(F.transform("ts", lambda t: t["role"]), lambda r: r != "system"))
-    seen = parts.select("conv_id", "part", "ts", F.explode(speakers).alias("participant"))
+    rows = turns.select("conv_id", F.struct(F.col("turn").alias("turn"), role.alias("role"), said.alias("said")).alias("t"))
+    if part_turns is None:
+        parts = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("ts")).withColumn("part", F.lit(0).cast("long"))
+        speakers = F.array_distinct(F.filter(F.transform("ts", lambda t: t["role"]), lambda r: r != "system"))
+        seen = parts.select("conv_id", "part", "ts", F.explode(speakers).alias("participant"))
+    else:
+        seen = _cut(rows, part_turns)
 
     def piece(t):
         mine = t["role"] == F.col("participant")
@@ -61,9 +61,24 @@ def rotate(turns: DataFrame, part_turns: int = 512) -> DataFrame:
     )
 
 
+def _cut(rows: DataFrame, part_turns: int) -> DataFrame:
+    """``conv_id, part, ts, participant`` of dialogues cut by row position."""
+    position = F.row_number().over(W.partitionBy("conv_id").orderBy("t"))
+    placed = rows.withColumn("part", F.floor((position - 1) / part_turns).cast("long"))
+    whole = placed.groupBy(F.col("conv_id").alias("of")).agg(
+        F.max("part").alias("last"), F.collect_set(F.when(F.col("t.role") != "system", F.col("t.role"))).alias("speakers")
+    )
+    joined = placed.join(whole, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+    # What a part repeats of earlier ones stands before its own turns.
+    again = joined.where("t.role = 'system' AND part < last").select("conv_id", F.explode(F.sequence(F.col("part") + 1, F.col("last"))).alias("part"), "t", "speakers")
+    own = joined.select("conv_id", "part", F.lit(1).alias("own"), "t", "speakers").union(again.select("conv_id", "part", F.lit(0), "t", "speakers"))
+    parts = own.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("own", "t"))).alias("ts"), F.first("speakers").alias("speakers"))
+    return parts.select("conv_id", "part", F.transform("ts", lambda x: x["t"]).alias("ts"), F.explode("speakers").alias("participant"))
+
+
 CHAT_SQL = r"""
 WITH t AS (
-    SELECT conv_id, coalesce(turn // 512, 0)::BIGINT AS part, turn, coalesce(role, 'unknown') AS role,
+    SELECT conv_id, 0::BIGINT AS part, turn, coalesce(role, 'unknown') AS role,
            replace(coalesce(text, ''), '<|im_', '<| im_') AS said FROM conversations
 ), n AS (
     SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, role, said) AS i FROM t

@@ -83,19 +83,29 @@ def with_suffix(df: DataFrame, labelled: DataFrame, own: Column, prior: float =
 
 
 def fit(labelled: DataFrame, train_rows: int = 20_000, rounds: int = 20, depth: int = 4):
-    """Boosted trees on at most about ``train_rows`` labelled rows, chosen by a hash of the url.
+    """Boosted trees on at most about ``train_rows`` distinct labelled urls, half of them for either label.
 
-    ``labelled`` has the features and ``label`` (1 block, 0 allow). Suffix statistics inside it
-    cover all labelled rows. Returns None if only one label occurs: then there is nothing to learn.
+    ``labelled`` has the features and ``label`` (1 block, 0 allow). A url counts once, however many
+    rows it has, and weighs as many; both labels weigh the same in all. Each label is sampled by a
+    hash of the url at its own rate, and a label with fewer urls than its half is taken whole, so
+    no label is lost to the sample. Suffix statistics inside cover all labelled rows. Returns None
+    if only one label occurs: then there is nothing to learn.
     """
-    n, kinds = labelled.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
-    if kinds < 2:
+    urls = materialize(labelled.groupBy("url", "label", *FEATURES).agg(F.count(F.lit(1)).alias("rows")), "url-labelled")
+    sizes = {r["label"]: r for r in urls.groupBy("label").agg(F.count(F.lit(1)).alias("urls"), F.sum("rows").alias("rows")).collect()}
+    if len(sizes) < 2:
         return None
-    picked = labelled.where(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int(min(1.0, train_rows / n) * (1 << 20)))
-    table = materialize(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(picked).select("features", F.col("label").cast("double")), "url-train")
-    if table.select("label").distinct().count() < 2:
-        return None
-    return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.2, subsamplingRate=0.8, seed=7, checkpointInterval=-1).fit(table)
+    rate, weight = F.lit(0.0), F.lit(0.0)
+    for label, r in sizes.items():
+        share = min(1.0, train_rows / 2 / r["urls"])
+        rate = F.when(F.col("label") == label, share).otherwise(rate)
+        weight = F.when(F.col("label") == label, F.col("rows") / (share * r["rows"])).otherwise(weight)
+    picked = urls.where(F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1 << 30)) < rate * (1 << 30))
+    # Weights of one on average, as the trees' least gains expect.
+    picked = picked.withColumn("weight", weight * sum(min(r["urls"], train_rows / 2) for r in sizes.values()) / 2)
+    table = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(picked).select("features", F.col("label").cast("double"), "weight")
+    trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.2, subsamplingRate=1.0, weightCol="weight", seed=7, checkpointInterval=-1)
+    return trees.fit(materialize(table, "url-train"))
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, labels: DataFrame | None = None, train_rows: int = 20_000) -> DataFrame:

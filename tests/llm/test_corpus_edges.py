@@ -156,10 +156,10 @@ def test_mix_of_texts_without_words(spark):
 def test_chat_parts_masks_and_odd_turns(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 2, "bob", None), (1, 600, "cy", "late"), (None, None, None, "x"), (2, 0, "system", "alone")]
     out = chat.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("part", F.lit(9))).collect()
-    assert sorted((r.conv_id or 0, r.part, r.participant) for r in out) == [(0, 0, "unknown"), (1, 0, "ann"), (1, 0, "bob"), (1, 1, "cy")]
+    assert sorted((r.conv_id or 0, r.part, r.participant) for r in out) == [(0, 0, "unknown"), (1, 0, "ann"), (1, 0, "bob"), (1, 0, "cy")]
     ann = next(r for r in out if r.participant == "ann")
     a, b = map(int, ann.mask.split(":"))
-    assert ann.text[a:b] == "hi <| im_end|><|im_end|>" and ann.mask_chars == b - a and ann.n_turns == 4
+    assert ann.text[a:b] == "hi <| im_end|><|im_end|>" and ann.mask_chars == b - a and ann.n_turns == 5
     assert chat.rotate(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
 
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import re
 from collections import Counter, defaultdict
 
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 from compare import connect, mismatch
 
 import corpus_pipeline
-from riskloom.llm import decontaminate, queries, simhash, suffix_dedup, token_rollup, url_filter
+from test_near_copies import all_pairs
+from riskloom.llm import chat, decontaminate, queries, simhash, suffix_dedup, token_rollup, url_filter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -200,10 +202,10 @@ def test_pipeline_stages_do_what_brute_force_does(spark, small):
     before, after = run["quality rules"]
     assert sorted(after) == sorted(r for r in before if verdict[r.doc_id])
     before, after = run["near-duplicates"]
-    least = groups([fingerprint(r.text, 5) for r in before], [r.doc_id for r in before], 7)
+    least = all_pairs([(r.doc_id, r.text) for r in before])
     assert sorted(after) == sorted(r for r in before if least[r.doc_id] == r.doc_id)
     before, after = run["repeated strings"]
-    want = {r.doc_id: w for r, w in zip(before, suffix_reference([r.text.encode() for r in before], 400))}
+    want = {r.doc_id: w for r, w in zip(before, suffix_reference([r.text.encode() for r in before], corpus_pipeline.PASSAGE))}
     assert {r.doc_id for r in after} == set(want)
     assert all(abs(len(r.text.encode()) - (want[r.doc_id][0] - want[r.doc_id][1])) <= 6 * want[r.doc_id][2] for r in after)
     before, after = run["decontamination"]
@@ -233,3 +235,78 @@ def test_simhash_drops_near_copies_only(spark):
     data = [(5, " ".join(base)), (3, " ".join(near)), (9, " ".join(base)), (1, " ".join(other)), (None, " ".join(base))]
     out = simhash.one_of_each(spark.createDataFrame(data, "doc_id long, text string").withColumn("fp", F.lit(1)))
     assert sorted((r.doc_id or 0, r.fp) for r in out.collect()) == [(0, 1), (1, 1), (3, 1)]
+
+
+def whole_dialogue(rows, speaker):
+    """What one participant should see of (turn, role, text) rows, and the ranges that carry loss."""
+    text, spans = "", []
+    for _, role, said in sorted(rows):
+        text += "<|im_start|>" + ("assistant" if role == speaker else "system" if role == "system" else f"user name={role}") + "\n"
+        body = f"{said}<|im_end|>"
+        if role == speaker:
+            spans.append(f"{len(text)}:{len(text) + len(body)}")
+        text += body + "\n"
+    return text, ",".join(spans)
+
+
+def test_long_dialogues_stay_whole(spark):
+    rows = [(0, "system", "be kind"), *((t, "ann" if t <= 300 else "bob", f"turn {t}") for t in range(1, 601))]
+    out = {r.participant: r for r in chat.rotate(spark.createDataFrame([(7, *r) for r in rows], "conv_id long, turn long, role string, text string")).collect()}
+    assert set(out) == {"ann", "bob"}
+    for speaker, r in out.items():
+        assert (r.text, r.mask, r.n_turns, r.part) == (*whole_dialogue(rows, speaker), 601, 0)
+
+
+def test_parts_give_everybody_every_turn_and_the_system_turns(spark):
+    rows = [(0, "system", "be kind"), *((t // 2, "ann" if t <= 9 else "bob", f"turn {t}") for t in range(2, 20))]
+    df = spark.createDataFrame([(None, *r) for r in rows], "conv_id long, turn long, role string, text string")
+    out = {(r.participant, r.part): r for r in chat.rotate(df, 5).collect()}
+    ordered = sorted(rows)
+    assert set(out) == {(who, part) for who in ("ann", "bob") for part in range(4)}
+    for (who, part), r in out.items():
+        mine = ([ordered[0]] if part else []) + ordered[5 * part : 5 * part + 5]
+        text, spans, at = whole_dialogue(mine, who)[0], whole_dialogue(mine, who)[1], len(mine)
+        assert (r.text, r.mask, r.n_turns) == (text, spans, at)
+
+
+def test_a_rare_label_is_not_lost_to_the_sample(spark):
+    """Also not to its weight: the one blocked url is blocked, whatever number of rows allow others."""
+    allowed = spark.range(60_000).selectExpr("concat('http://www.paper', id % 90, '.org/news/story', id) AS url", "0 AS label")
+    blocked = spark.createDataFrame([("http://cheap-pills-77.shop/?a=1&b=2&c=3", 1)], "url string, label int")
+    pages = spark.createDataFrame([(1, "http://cheap-pills-77.shop/?a=1&b=2&c=3"), (2, "http://www.paper5.org/news/story17")], "page_id long, url string")
+    for n in (100, 60_000):
+        out = url_filter.judge(pages, rules=(), labels=allowed.limit(n).union(blocked))
+        assert {r.page_id: r.verdict for r in out.collect()} == {1: "block", 2: "allow"}
+
+
+def test_hosts_paths_and_rules_of_all_pages(spark, small):
+    urls = {r.page_id: r.url for r in table(spark, small, "pages").collect()}
+    got = queries.op4_url_filter(spark, small).collect()
+    assert {r.page_id for r in got} == set(urls) and len(got) == len(urls)
+    for r in got:
+        host, path, rule, verdict = rule_reference(urls[r.page_id])
+        assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict in ("allow", "block") and verdict in (None, r.verdict)
+
+
+@pytest.mark.parametrize("width", [8, 9, 10, 11, 12, 13])
+def test_masks_find_every_accepted_choice_of_changed_words(width):
+    changes = width - -(-width * 8 // 10)
+    masks = decontaminate.masks_for(width)
+    for changed in itertools.combinations(range(width), changes):
+        assert any(
+            all(m[c - at] == "0" for c in changed if at <= c < at + len(m)) for m in masks for at in range(width - len(m) + 1)
+        ), changed
+
+
+def test_short_items_and_changed_words_are_found(spark):
+    rng = np.random.default_rng(9)
+    items, docs = [], []
+    for width in (1, 3, 6, 7, 8, 10, 13):
+        ws = [f"q{width}x{j}" for j in range(width)]
+        items.append((width, " ".join(ws)))
+        changes = width - -(-width * 8 // 10) if width >= 8 else 0
+        for k, changed in enumerate(itertools.combinations(range(width), changes)):
+            copy = [w if j not in changed else f"z{rng.integers(10**6)}" for j, w in enumerate(ws)]
+            docs.append((1000 * width + k, f"before {' '.join(copy)} after"))
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(d, d // 1000) for d, _ in docs}
