@@ -201,9 +201,7 @@ _RANKS = ["r1", "r2", "r3"]
 
 
 def _ranked(spark, root):
-    ranked = _scores(spark, root)
-    for i in "123":
-        ranked = R.rank_norm(ranked, f"s{i}", f"r{i}")
+    ranked = R.rank_norms(_scores(spark, root), {f"s{i}": f"r{i}" for i in "123"})
     return ranked.select("c_custkey", "label", *_RANKS)
 
 
