@@ -1,7 +1,8 @@
 """The six table builders on the given tables in their roles.
 
-The checks rebuild a selection of columns from every feature family by separate filtering, grouping
-and joining. Large sums and squares are scaled before rounding.
+The checks rebuild columns by separate filtering, grouping and joining: all of them for balances and
+installments, a selection from every feature family for the others. Large sums and squares are
+scaled before rounding.
 """
 
 from __future__ import annotations
@@ -33,10 +34,6 @@ def _scaled_sql(sql: str, cols: list[str], big: list[str], digits: int = DIGITS)
     return rounded_sql(f'SELECT "{C.KEY}", {picked} FROM ({sql})', cols, digits)
 
 
-def _variances(cols: list[str]) -> list[str]:
-    return [c for c in cols if c.endswith("_VAR")]
-
-
 def _assemble(source: str, parts: list[tuple[str, str]]) -> str:
     """Left join of separately grouped parts ``(select list, filter)`` onto the distinct clients."""
     ctes = ", ".join(
@@ -208,27 +205,70 @@ def _with_per_loan(base: str, parts: list[tuple[str, str]], spec: dict[str, str]
     return f"{base}, {cte}{extra}{_assemble('b', parts)} {join} {joins}"
 
 
+def _every(df: DataFrame) -> DataFrame:
+    """Every column of a builder as a double, scaled so that what is rounded away is noise."""
+    cols = [c for c in df.columns if c != C.KEY]
+    return rounded(df.select(C.KEY, *((F.col(f"`{c}`").cast("double") / _unit(c)).alias(c) for c in cols)), DIGITS)
+
+
+def _every_sql(sql: str, cols: list[str]) -> str:
+    picked = ", ".join(f'CAST("{c}" AS DOUBLE) / {_unit(c)} AS "{c}"' for c in cols)
+    return rounded_sql(f'SELECT "{C.KEY}", {picked} FROM ({sql})', cols, DIGITS)
+
+
+def _unit(col: str) -> float:
+    """What a column is divided by; no round number, because short decimals would fall on the edge of rounding."""
+    money = any(part in col for part in ("AMT_", "PAYMENT_DIFF", "PAYDIFF"))
+    wide = money or any(part in col for part in ("DAYS_", "DPD", "DBD"))
+    if col.endswith("_VAR"):
+        power = 9 if money else 4 if wide else 1
+    else:
+        power = 6 if col.endswith("_SUM") and money else 3 if money or (wide and col.endswith("_SUM")) else 0
+    return 1.009 * 10.0**power
+
+
+_FIVE, _THREE, _LOAN = ("MIN", "MAX", "MEAN", "SUM", "VAR"), ("MEAN", "MAX", "SUM"), ("MEAN", "MAX", "STD")
+
+
+def _trend(prefix: str, col: str, time: str) -> tuple[str, str]:
+    pairs = f"covar_samp({col}, {time}) * (count(*) - 1) / (var_samp({time}) * (count(*) - 1) + 1e-8)"
+    return f"CASE WHEN count(*) >= 3 THEN {pairs} END AS {prefix}_{col}_TREND", f"{col} IS NOT NULL"
+
+
+def _monthly(prefix: str, time: str, numbers, windows, window_cols, decayed, decay, trends, extra) -> list[tuple[str, str]]:
+    """The separately grouped parts of a table: profile, windows, decayed means and trends of all its columns."""
+    return [
+        (", ".join([*(_profile(prefix, c) for c in numbers), f"count(*) AS {prefix}_COUNT", *extra]), "true"),
+        *((_window(prefix, label, window_cols), f"{time} >= {back}") for label, back in windows.items()),
+        *((_decay(prefix, c, time, decay), f"{c} IS NOT NULL") for c in decayed),
+        *(_trend(prefix, c, time) for c in trends),
+    ]
+
+
+def _monthly_cols(prefix: str, numbers, windows, window_cols, decayed, trends, loans) -> list[str]:
+    return [
+        *(f"{prefix}_{c}_{s}" for c in numbers for s in _FIVE), f"{prefix}_COUNT",
+        *(f"{prefix}_{w}_{c}_{s}" for w in windows for c in window_cols for s in _THREE), *(f"{prefix}_{w}_COUNT" for w in windows),
+        *(f"{n}_{s}" for n in loans for s in _LOAN), *(f"{prefix}_{c}_TWMEAN" for c in decayed), *(f"{prefix}_{c}_TREND" for c in trends),
+    ]
+
+
+_MONTHS = {"3M": -3, "6M": -6, "12M": -12, "24M": -24}
 _POS_PL = {"POS_PL_DPD_MAX": "max(SK_DPD)", "POS_PL_DPD_MEAN": "avg(SK_DPD)", "POS_PL_LATE_RATE": "avg(LATE_POS)", "POS_PL_MONTHS": "count(MONTHS_BALANCE)"}
-_POS_PARTS = [
-    (f"{_profile('POS', 'SK_DPD')}, {_profile('POS', 'SK_DPD_RATIO')}, {_profile('POS', 'LATE_POS')}, avg(CASE WHEN NAME_CONTRACT_STATUS = 'Active' THEN 1.0 ELSE 0 END) AS POS_NAME_CONTRACT_STATUS_Active, "
-     "avg(CASE WHEN NAME_CONTRACT_STATUS IS NULL THEN 1.0 ELSE 0 END) AS POS_NAME_CONTRACT_STATUS_nan, count(*) AS POS_COUNT, sum(LATE_POS) / count(*) AS POS_LATE_RATE", "true"),
-    (_window("POS", "3M", ["SK_DPD"]), "MONTHS_BALANCE >= -3"),
-    (_window("POS", "24M", ["CNT_INSTALMENT_FUTURE"]), "MONTHS_BALANCE >= -24"),
-    (_decay("POS", "SK_DPD", "MONTHS_BALANCE", 0.02), "SK_DPD IS NOT NULL"),
-    ("CASE WHEN count(*) >= 3 THEN covar_samp(SK_DPD, MONTHS_BALANCE) * (count(*) - 1) / (var_samp(MONTHS_BALANCE) * (count(*) - 1) + 1e-8) END AS POS_SK_DPD_TREND", "SK_DPD IS NOT NULL"),
-    ("count(*) AS done", "NAME_CONTRACT_STATUS = 'Completed'"),
-]
-POS_COLS = [
-    *(f"POS_{c}_{s}" for c in ("SK_DPD", "SK_DPD_RATIO", "LATE_POS") for s in ("MIN", "MAX", "MEAN", "SUM", "VAR")),
-    "POS_NAME_CONTRACT_STATUS_Active", "POS_NAME_CONTRACT_STATUS_nan", "POS_COUNT", "POS_LATE_RATE",
-    *(f"POS_3M_SK_DPD_{s}" for s in ("MEAN", "MAX", "SUM")), "POS_3M_COUNT",
-    *(f"POS_24M_CNT_INSTALMENT_FUTURE_{s}" for s in ("MEAN", "MAX", "SUM")), "POS_24M_COUNT",
-    *(f"{n}_{s}" for n in _POS_PL for s in ("MEAN", "MAX", "STD")), "POS_SK_DPD_TWMEAN", "POS_SK_DPD_TREND", "POS_COMPLETED_RATE",
+_POS_NUMBERS = ["MONTHS_BALANCE", "SK_DPD", "SK_DPD_DEF", "CNT_INSTALMENT", "CNT_INSTALMENT_FUTURE", "SK_DPD_RATIO", "LATE_POS"]
+_POS_WINDOW = ["SK_DPD", "SK_DPD_DEF", "CNT_INSTALMENT", "CNT_INSTALMENT_FUTURE"]
+_POS_PARTS = _monthly(
+    "POS", "MONTHS_BALANCE", _POS_NUMBERS, _MONTHS, _POS_WINDOW, ["SK_DPD", "CNT_INSTALMENT_FUTURE"], 0.02, ["SK_DPD"],
+    [*(f"avg(CASE WHEN NAME_CONTRACT_STATUS = '{v}' THEN 1.0 ELSE 0 END) AS POS_NAME_CONTRACT_STATUS_{v}" for v in ("Active", "Completed")),
+     "avg(CASE WHEN NAME_CONTRACT_STATUS IS NULL THEN 1.0 ELSE 0 END) AS POS_NAME_CONTRACT_STATUS_nan", "sum(LATE_POS) / count(*) AS POS_LATE_RATE"],
+) + [("count(*) AS done", "NAME_CONTRACT_STATUS = 'Completed'")]
+POS_COLS = _monthly_cols("POS", _POS_NUMBERS, _MONTHS, _POS_WINDOW, ["SK_DPD", "CNT_INSTALMENT_FUTURE"], ["SK_DPD"], _POS_PL) + [
+    *(f"POS_NAME_CONTRACT_STATUS_{v}" for v in ("Active", "Completed", "nan")), "POS_LATE_RATE", "POS_COMPLETED_RATE",
 ]
 
 
 def builder_pos(spark, root):
-    return _scaled(C.pos_features(role(spark, root, "pos")), POS_COLS, _variances(POS_COLS), 9)
+    return _every(C.pos_features(role(spark, root, "pos")))
 
 
 _POS_SQL = "SELECT *, done / POS_COUNT AS POS_COMPLETED_RATE FROM (" + _with_per_loan(
@@ -237,23 +277,17 @@ _POS_SQL = "SELECT *, done / POS_COUNT AS POS_COMPLETED_RATE FROM (" + _with_per
 
 _CC_PL = {"CC_PL_BAL_LIM_MAX": "max(CC_BAL_LIM_RATIO)", "CC_PL_BAL_LIM_MEAN": "avg(CC_BAL_LIM_RATIO)", "CC_PL_DRAW_MEAN": "avg(CC_DRAW_LIM)",
           "CC_PL_DPD_MAX": "max(SK_DPD)", "CC_PL_LATE_RATE": "avg(CC_LATE)"}
-_CC_PARTS = [
-    (f"{_profile('CC', 'CC_BAL_LIM_RATIO')}, {_profile('CC', 'CC_PAY_TOTAL_RATIO')}, {_profile('CC', 'CC_LATE')}, avg(CC_MIN_PAY_RATIO) AS CC_CC_MIN_PAY_RATIO_MEAN, count(*) AS CC_COUNT, sum(CC_LATE) / count(*) AS CC_LATE_RATE", "true"),
-    (_window("CC", "6M", ["CC_DRAW_LIM"]), "MONTHS_BALANCE >= -6"),
-    (_window("CC", "12M", ["SK_DPD"]), "MONTHS_BALANCE >= -12"),
-    (_decay("CC", "CC_BAL_LIM_RATIO", "MONTHS_BALANCE", 0.02), "CC_BAL_LIM_RATIO IS NOT NULL"),
-    ("CASE WHEN count(*) >= 3 THEN covar_samp(CC_BAL_LIM_RATIO, MONTHS_BALANCE) * (count(*) - 1) / (var_samp(MONTHS_BALANCE) * (count(*) - 1) + 1e-8) END AS CC_CC_BAL_LIM_RATIO_TREND", "CC_BAL_LIM_RATIO IS NOT NULL"),
-]
-CC_COLS = [
-    *(f"CC_{c}_{s}" for c in ("CC_BAL_LIM_RATIO", "CC_PAY_TOTAL_RATIO", "CC_LATE") for s in ("MIN", "MAX", "MEAN", "SUM", "VAR")),
-    "CC_CC_MIN_PAY_RATIO_MEAN", "CC_COUNT", "CC_LATE_RATE", *(f"CC_6M_CC_DRAW_LIM_{s}" for s in ("MEAN", "MAX", "SUM")), "CC_6M_COUNT",
-    *(f"CC_12M_SK_DPD_{s}" for s in ("MEAN", "MAX", "SUM")), "CC_12M_COUNT", *(f"{n}_{s}" for n in _CC_PL for s in ("MEAN", "MAX", "STD")),
-    "CC_CC_BAL_LIM_RATIO_TWMEAN", "CC_CC_BAL_LIM_RATIO_TREND",
+_CC_NUMBERS = [
+    "MONTHS_BALANCE", "SK_DPD", "AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL", "AMT_PAYMENT_TOTAL_CURRENT", "AMT_TOTAL_RECEIVABLE", "AMT_DRAWINGS_CURRENT",
+    "AMT_INST_MIN_REGULARITY", "AMT_PAYMENT_CURRENT", "CC_BAL_LIM_RATIO", "CC_PAY_TOTAL_RATIO", "CC_DRAW_LIM", "CC_MIN_PAY_RATIO", "CC_LATE",
 ]
+_CC_WINDOW, _CC_DECAYED, _CC_TRENDS = ["AMT_BALANCE", "CC_BAL_LIM_RATIO", "CC_DRAW_LIM", "SK_DPD"], ["AMT_BALANCE", "CC_BAL_LIM_RATIO", "SK_DPD"], ["AMT_BALANCE", "CC_BAL_LIM_RATIO"]
+_CC_PARTS = _monthly("CC", "MONTHS_BALANCE", _CC_NUMBERS, _MONTHS, _CC_WINDOW, _CC_DECAYED, 0.02, _CC_TRENDS, ["sum(CC_LATE) / count(*) AS CC_LATE_RATE"])
+CC_COLS = _monthly_cols("CC", _CC_NUMBERS, _MONTHS, _CC_WINDOW, _CC_DECAYED, _CC_TRENDS, _CC_PL) + ["CC_LATE_RATE"]
 
 
 def builder_card(spark, root):
-    return _scaled(C.card_features(role(spark, root, "card")), CC_COLS, _variances(CC_COLS), 9)
+    return _every(C.card_features(role(spark, root, "card")))
 
 
 _CC_SQL = _with_per_loan(
@@ -264,36 +298,36 @@ _CC_SQL = _with_per_loan(
 
 _INS_PL = {
     "INS_PL_DPD_MEAN": "avg(DPD)", "INS_PL_DPD_MAX": "max(DPD)", "INS_PL_LATE_SUM": "sum(LATE_PAYMENT)", "INS_PL_LATE_RATE": "avg(LATE_PAYMENT)",
-    "INS_PL_PAYPERC_MEAN": "avg(PAYMENT_PERC)", "INS_PL_PAYPERC_MIN": "min(PAYMENT_PERC)", "INS_PL_COUNT": "count(*)",
+    "INS_PL_PAYPERC_MEAN": "avg(PAYMENT_PERC)", "INS_PL_PAYPERC_MIN": "min(PAYMENT_PERC)", "INS_PL_PAYDIFF_MAX": "max(PAYMENT_DIFF)", "INS_PL_COUNT": "count(*)",
 }
-_INS_PARTS = [
-    (f"{_profile('INS', 'DPD')}, {_profile('INS', 'PAYMENT_PERC')}, sum(DBD) AS INS_DBD_SUM, count(*) AS INS_COUNT, avg(LATE_PAYMENT) AS INS_LATE_RATE, avg(SIGNIFICANT_UNDERPAY) AS INS_SIGUNDERPAY_RATE, "
-     "count(DISTINCT NUM_INSTALMENT_VERSION) AS INS_VERSION_NUNIQUE, max(NUM_INSTALMENT_VERSION) AS INS_VERSION_MAX, avg(NUM_INSTALMENT_VERSION) AS INS_VERSION_MEAN", "true"),
-    (_window("INS", "6M", ["DPD"]), "DAYS_INSTALMENT >= -180"),
-    (_window("INS", "2Y", ["LATE_PAYMENT"]), "DAYS_INSTALMENT >= -730"),
-    (_decay("INS", "PAYMENT_PERC", "DAYS_INSTALMENT", 0.001), "PAYMENT_PERC IS NOT NULL"),
-    ("CASE WHEN count(*) >= 3 THEN covar_samp(DPD, DAYS_INSTALMENT) * (count(*) - 1) / (var_samp(DAYS_INSTALMENT) * (count(*) - 1) + 1e-8) END AS INS_DPD_TREND", "DPD IS NOT NULL"),
+_INS_NUMBERS = [
+    "NUM_INSTALMENT_VERSION", "DAYS_INSTALMENT", "DAYS_ENTRY_PAYMENT", "AMT_INSTALMENT", "AMT_PAYMENT", "DPD", "DBD", "PAYMENT_PERC", "PAYMENT_DIFF", "LATE_PAYMENT",
+    "SIGNIFICANT_UNDERPAY",
 ]
+_INS_BACK = {"6M": -180, "1Y": -365, "2Y": -730}
+_INS_WINDOW, _INS_DECAYED, _INS_TRENDS = ["DPD", "PAYMENT_PERC", "PAYMENT_DIFF", "LATE_PAYMENT"], ["DPD", "PAYMENT_PERC", "PAYMENT_DIFF"], ["DPD", "PAYMENT_PERC"]
+_INS_PARTS = _monthly(
+    "INS", "DAYS_INSTALMENT", _INS_NUMBERS, _INS_BACK, _INS_WINDOW, _INS_DECAYED, 0.001, _INS_TRENDS,
+    ["avg(LATE_PAYMENT) AS INS_LATE_RATE", "avg(SIGNIFICANT_UNDERPAY) AS INS_SIGUNDERPAY_RATE", "count(DISTINCT NUM_INSTALMENT_VERSION) AS INS_VERSION_NUNIQUE",
+     "max(NUM_INSTALMENT_VERSION) AS INS_VERSION_MAX", "avg(NUM_INSTALMENT_VERSION) AS INS_VERSION_MEAN"],
+)
 _INS_KS = (3, 5, 10, 30)
 _INS_RANKED = ", o AS (SELECT *, row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY DAYS_INSTALMENT DESC NULLS LAST, DAYS_ENTRY_PAYMENT DESC NULLS LAST, AMT_INSTALMENT DESC NULLS LAST, AMT_PAYMENT DESC NULLS LAST, SK_ID_PREV DESC NULLS LAST) AS rn FROM b)" + "".join(
-    f", k{k} AS (SELECT SK_ID_CURR, avg(DPD) AS INS_LAST{k}_DPD_MEAN, max(DPD) AS INS_LAST{k}_DPD_MAX, avg(PAYMENT_PERC) AS INS_LAST{k}_PAYPERC_MEAN, avg(LATE_PAYMENT) AS INS_LAST{k}_LATE_RATE FROM o WHERE rn <= {k} GROUP BY 1)"
+    f", k{k} AS (SELECT SK_ID_CURR, avg(DPD) AS INS_LAST{k}_DPD_MEAN, max(DPD) AS INS_LAST{k}_DPD_MAX, avg(PAYMENT_PERC) AS INS_LAST{k}_PAYPERC_MEAN, avg(PAYMENT_DIFF) AS INS_LAST{k}_PAYDIFF_MEAN, avg(LATE_PAYMENT) AS INS_LAST{k}_LATE_RATE FROM o WHERE rn <= {k} GROUP BY 1)"
     for k in _INS_KS
 )
-INS_COLS = [
-    *(f"INS_{c}_{s}" for c in ("DPD", "PAYMENT_PERC") for s in ("MIN", "MAX", "MEAN", "SUM", "VAR")),
-    "INS_DBD_SUM", "INS_COUNT", "INS_LATE_RATE", "INS_SIGUNDERPAY_RATE", "INS_VERSION_NUNIQUE", "INS_VERSION_MAX", "INS_VERSION_MEAN",
-    *(f"INS_6M_DPD_{s}" for s in ("MEAN", "MAX", "SUM")), "INS_6M_COUNT", *(f"INS_2Y_LATE_PAYMENT_{s}" for s in ("MEAN", "MAX", "SUM")), "INS_2Y_COUNT",
-    *(f"{n}_{s}" for n in _INS_PL for s in ("MEAN", "MAX", "STD")), "INS_PAYMENT_PERC_TWMEAN", "INS_DPD_TREND",
-    *(f"INS_LAST{k}_{s}" for k in _INS_KS for s in ("DPD_MEAN", "DPD_MAX", "PAYPERC_MEAN", "LATE_RATE")),
+INS_COLS = _monthly_cols("INS", _INS_NUMBERS, _INS_BACK, _INS_WINDOW, _INS_DECAYED, _INS_TRENDS, _INS_PL) + [
+    "INS_LATE_RATE", "INS_SIGUNDERPAY_RATE", "INS_VERSION_NUNIQUE", "INS_VERSION_MAX", "INS_VERSION_MEAN",
+    *(f"INS_LAST{k}_{s}" for k in _INS_KS for s in ("DPD_MEAN", "DPD_MAX", "PAYPERC_MEAN", "PAYDIFF_MEAN", "LATE_RATE")),
 ]
 
 
 def builder_installments(spark, root):
-    return _scaled(C.installment_features(role(spark, root, "installments")), INS_COLS, _variances(INS_COLS), 9)
+    return _every(C.installment_features(role(spark, root, "installments")))
 
 
 _INS_SQL = _with_per_loan(
-    role_sql("installments") + """, b AS (SELECT *, AMT_PAYMENT / nullif(AMT_INSTALMENT + 0.001, 0) AS PAYMENT_PERC,
+    role_sql("installments") + """, b AS (SELECT *, AMT_PAYMENT / nullif(AMT_INSTALMENT + 0.001, 0) AS PAYMENT_PERC, AMT_INSTALMENT - AMT_PAYMENT AS PAYMENT_DIFF,
  CASE WHEN DAYS_ENTRY_PAYMENT IS NOT NULL THEN greatest(DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT, 0) END AS DPD, CASE WHEN DAYS_ENTRY_PAYMENT IS NOT NULL THEN greatest(DAYS_INSTALMENT - DAYS_ENTRY_PAYMENT, 0) END AS DBD,
  CASE WHEN DAYS_ENTRY_PAYMENT > DAYS_INSTALMENT THEN 1 ELSE 0 END AS LATE_PAYMENT, CASE WHEN AMT_INSTALMENT - AMT_PAYMENT > 100 THEN 1 ELSE 0 END AS SIGNIFICANT_UNDERPAY FROM installments)""",
     _INS_PARTS, _INS_PL, _INS_RANKED, " ".join(f"LEFT JOIN k{k} USING (SK_ID_CURR)" for k in _INS_KS),
@@ -305,6 +339,6 @@ QUERIES = {
 }
 ORACLES = {
     "builder_application": _scaled_sql(_APP_SQL, APP_COLS, APP_BIG, 12), "builder_bureau": _scaled_sql(_BURO_SQL, BURO_COLS, BURO_BIG, 12),
-    "builder_previous": _scaled_sql(_PREV_SQL, PREV_COLS, PREV_BIG), "builder_pos": _scaled_sql(_POS_SQL, POS_COLS, _variances(POS_COLS), 9),
-    "builder_card": _scaled_sql(_CC_SQL, CC_COLS, _variances(CC_COLS), 9), "builder_installments": _scaled_sql(_INS_SQL, INS_COLS, _variances(INS_COLS), 9),
+    "builder_previous": _scaled_sql(_PREV_SQL, PREV_COLS, PREV_BIG), "builder_pos": _every_sql(_POS_SQL, POS_COLS),
+    "builder_card": _every_sql(_CC_SQL, CC_COLS), "builder_installments": _every_sql(_INS_SQL, INS_COLS),
 }
