@@ -70,7 +70,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     Downstream plans start from files, so a lost executor re-reads instead of recomputing. The
     file size is also a statistic the planner trusts: a join with a small fitted table becomes a
     broadcast join only when its size is below ``spark.sql.autoBroadcastJoinThreshold``, and a
-    sort-merge join with run-time skew splitting otherwise. No broadcast hint is used anywhere.
+    sort-merge join with run-time skew splitting otherwise.
     """
     spark = df.sparkSession
     folder = _SCRATCH[-1] if _SCRATCH else f"{shared_dir(spark)}/riskloom"
