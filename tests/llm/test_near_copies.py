@@ -77,3 +77,16 @@ def test_blank_texts_and_null_ids(spark):
     text = " ".join(f"w{i}" for i in range(50))
     df = spark.createDataFrame([(1, None), (2, ""), (None, text), (4, text), (5, text.upper())], "doc_id long, text string").withColumn("node", F.lit(1))
     assert sorted((r.doc_id or 0, r.node) for r in simhash.one_of_each(df).collect()) == [(0, 1), (1, 1), (4, 1)]
+
+
+def test_members_propose_as_many_partners_as_asked_and_in_the_end_all():
+    rng = np.random.default_rng(2)
+    n = 60
+    bits = np.repeat(rng.integers(0, 1 << 63, (1, 4), dtype=np.uint64), n, axis=0) ^ (np.uint64(1) << rng.integers(0, 60, (n, 4), dtype=np.uint64))
+    node, size, root = np.arange(n) + 100, np.sort(rng.integers(50, 80, n)), np.where(np.arange(n) < 20, 100, np.arange(n) + 100)
+    for reach in (1, 4):
+        a, b, more = near_copies._best(node, size, root, bits, reach, 0.8)
+        assert more and set(np.unique(a, return_counts=True)[1]) <= set(range(1, reach + 1)) and not set(a) & set(node[:20])
+    a, b, more = near_copies._best(node, size, root, bits, n, 0.8)
+    want = {(x, y) for x in range(n) for y in range(x + 1, n) if root[x] != root[y] and size[x] >= 0.8 * size[y]}
+    assert not more and {(min(x, y) - 100, max(x, y) - 100) for x, y in zip(a.tolist(), b.tolist())} == want
