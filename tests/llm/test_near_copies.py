@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from riskloom.llm import near_copies, simhash
@@ -79,14 +80,59 @@ def test_blank_texts_and_null_ids(spark):
     assert sorted((r.doc_id or 0, r.node) for r in simhash.one_of_each(df).collect()) == [(0, 1), (1, 1), (4, 1)]
 
 
-def test_members_propose_as_many_partners_as_asked_and_in_the_end_all():
-    rng = np.random.default_rng(2)
-    n = 60
+def crowd(seed=2, n=60):
+    rng = np.random.default_rng(seed)
     bits = np.repeat(rng.integers(0, 1 << 63, (1, 4), dtype=np.uint64), n, axis=0) ^ (np.uint64(1) << rng.integers(0, 60, (n, 4), dtype=np.uint64))
-    node, size, root = np.arange(n) + 100, np.sort(rng.integers(50, 80, n)), np.where(np.arange(n) < 20, 100, np.arange(n) + 100)
-    for reach in (1, 4):
-        a, b, more = near_copies._best(node, size, root, bits, reach, 0.8)
-        assert more and set(np.unique(a, return_counts=True)[1]) <= set(range(1, reach + 1)) and not set(a) & set(node[:20])
-    a, b, more = near_copies._best(node, size, root, bits, n, 0.8)
-    want = {(x, y) for x in range(n) for y in range(x + 1, n) if root[x] != root[y] and size[x] >= 0.8 * size[y]}
-    assert not more and {(min(x, y) - 100, max(x, y) - 100) for x, y in zip(a.tolist(), b.tolist())} == want
+    return np.arange(n) + 100, np.sort(rng.integers(50, 80, n)), np.where(np.arange(n) < 20, 100, np.arange(n) + 100), bits
+
+
+def batches_of(key, node, size, root, weight, bits, rows):
+    names = list(near_copies._MEMBER)
+    columns = [pa.array(v) for v in (key, node, size, root, weight, *bits.view(np.int64).T.copy())]
+    whole = pa.RecordBatch.from_arrays(columns, names)
+    return [whole.slice(a, rows) for a in range(0, whole.num_rows, rows)]
+
+
+def test_spanning_pairs_join_a_bucket_with_fewer_pairs_than_members():
+    node, size, root, bits = crowd()
+    key, weight = np.repeat([3, 5, 9], [40, 17, 3]), np.ones(60, np.int64)
+    for rows in (7, 60):
+        got = pa.Table.from_batches(list(near_copies._spanning(iter(batches_of(key, node, size, root, weight, bits, rows)), 0.8))).to_pydict()
+        pairs = list(zip(got["a"], got["b"]))
+        assert len(pairs) == len(set(pairs)) < 60 and all(key[a - 100] == key[b - 100] for a, b in pairs)
+        assert all(size[a - 100] >= 0.8 * size[b - 100] - 1e-9 for a, b in pairs) and not any(a < 120 and b < 120 for a, b in pairs)
+        join = {n: r for n, r in zip(node.tolist(), root.tolist())}
+        for a, b in pairs:
+            old, new = join[b], join[a]
+            assert old != new  # no circles
+            join = {n: new if r == old else r for n, r in join.items()}
+        for x in range(60):
+            for y in range(x):
+                if key[x] == key[y] and size[y] >= 0.8 * size[x]:
+                    assert join[x + 100] == join[y + 100]
+
+
+def test_members_ask_a_larger_component_once_and_every_pair_is_asked_for():
+    node, size, root, bits = crowd()
+    weight = np.where(node < 120, 20, 1)
+    key = np.repeat([3, 5, 9], [40, 17, 3])
+    for rows in (7, 60):
+        got = pa.Table.from_batches(list(near_copies._asks(iter(batches_of(key, node, size, root, weight, bits, rows)), 0.8))).to_pydict()
+        asked = list(zip(got["node"], got["root"]))
+        assert len(asked) == len(set(asked)) and not any(n < 120 for n, _ in asked)
+        want = set()
+        for x in range(60):
+            for y in range(60):
+                lower = (weight[x], root[x]) < (weight[y], root[y])
+                if key[x] == key[y] and lower and min(size[x], size[y]) >= 0.8 * max(size[x], size[y]):
+                    want.add((x + 100, int(root[y])))
+        assert set(asked) == want
+
+
+def test_blocks_of_a_component_answer_for_all_their_members(spark, monkeypatch):
+    rows = variants(7)
+    monkeypatch.setattr(near_copies, "BLOCK", 2)
+    # Without spanning pairs, every link is found by asking.
+    monkeypatch.setattr(near_copies, "alike", lambda pairs, *_: pairs.where("false"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_copies.near_groups(df).collect()} == all_pairs(rows)
