@@ -61,6 +61,20 @@ def by_document(doc: np.ndarray, key: np.ndarray, starts: np.ndarray, width: int
     return out
 
 
+def by_place(doc: np.ndarray, key: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Merged ranges of all documents as the rows ``doc``, ``key``, start and end of one matrix, sorted."""
+    if not len(doc):
+        return np.zeros((4, 0), np.int64)
+    order = np.lexsort((starts, key, doc))
+    doc, key = doc[order], key[order]
+    fresh = np.append(True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]))
+    # Documents are laid side by side on one line, too far apart to touch.
+    wide, line = int(ends.max()) + 2, np.cumsum(fresh) - 1
+    s, e = merge(starts[order] + line * wide, ends[order] + line * wide)
+    own, first = s // wide, np.flatnonzero(fresh)
+    return np.stack([doc[first][own], key[first][own], s - own * wide, e - own * wide])
+
+
 def decode(packed: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
     """The merged ranges of one document's rows."""
     if not packed:

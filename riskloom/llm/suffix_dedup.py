@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskloom.llm.buffers import slices, text_bytes
 from riskloom.llm.induced_sort import suffix_order
-from riskloom.llm.spans import attach, by_document, decode, keyed, rows, small_batches
+from riskloom.llm.spans import attach, by_place, decode, keyed, rows, small_batches
 from riskloom.llm.super_kmers import rolling, sliding_min
 from riskloom.session import materialize
 
@@ -25,7 +25,9 @@ _BASE = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes of text for one shard; bytes of strings above which a shard is dealt anew, or a group of one
 #: hash; bytes sorted at once.
 SHARD, MOST, GROUP, SORTED = 1 << 20, 8 << 20, 1 << 19, 1 << 18
-_SCHEMA = "shard bigint, kind int, doc bigint, doc_key bigint, payload binary"
+#: Bytes of text whose spans are merged at once; spans that a task gathers before it sends them.
+MERGED, GATHERED = 64 << 20, 1 << 16
+_SCHEMA = "shard bigint, kind int, payload binary"
 _PACKED, _SPANS = 0, 1
 
 
@@ -47,21 +49,18 @@ class Strings:
         return Strings(np.frombuffer(b"".join(parts), np.uint8), first, self.doc[which], self.key[which], self.at[which])
 
 
-def settle_copies(strings: Strings, length: int) -> tuple[Strings, np.ndarray, list[tuple[int, int, bytes]]]:
+def settle_copies(strings: Strings, length: int) -> tuple[Strings, np.ndarray, np.ndarray]:
     """One of each equal strings, its number in the input, and the spans of those that occur at several places."""
     _, single = np.unique(np.stack([strings.doc, strings.key, strings.at], axis=1), axis=0, return_index=True)
     single = np.sort(single)
     strings = strings.take(single) if len(single) < len(strings.doc) else strings
     alike = strings.alike()
     _, lead, member, counts = np.unique(alike, return_index=True, return_inverse=True, return_counts=True)
-    if len(lead) == len(alike):
-        return strings, single, []
-    many = np.flatnonzero(counts[member] > 1)
-    spans: list[tuple[int, int, bytes]] = []
     size = np.diff(strings.first)
-    many = many[size[many] >= length]
-    for d, k, a, n in zip(strings.doc[many].tolist(), strings.key[many].tolist(), strings.at[many].tolist(), size[many].tolist()):
-        spans.append((d, k, np.array([a, a + n], "<i8").tobytes()))
+    many = np.flatnonzero((counts[member] > 1) & (size >= length))
+    spans = np.stack([strings.doc[many], strings.key[many], strings.at[many], strings.at[many] + size[many]])
+    if len(lead) == len(alike):
+        return strings, single, spans
     lead = np.sort(lead)
     return strings.take(lead), single[lead], spans
 
@@ -125,7 +124,7 @@ def cut_at(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def repeated_in(strings: Strings, length: int) -> list[tuple[int, int, bytes]]:
+def repeated_in(strings: Strings, length: int) -> np.ndarray:
     """Spans of the windows that occur twice in a shard: neighbours in suffix order that agree on ``length`` bytes."""
     n = len(strings.doc)
     t = np.zeros(len(strings.data) + n, np.int16)
@@ -137,19 +136,62 @@ def repeated_in(strings: Strings, length: int) -> list[tuple[int, int, bytes]]:
     own = np.searchsorted(first, at, side="right") - 1
     inside = at + length < first[own + 1]  # the separator is not part of a string
     at, own = at[inside], own[inside]
-    return by_document(strings.doc[own], strings.key[own], strings.at[own] + at - first[own], length)
+    starts = strings.at[own] + at - first[own]
+    return by_place(strings.doc[own], strings.key[own], starts, starts + length)
 
 
-def _emit(packed: list[tuple[int, bytes]], spans: list[tuple[int, int, bytes]], shards: int) -> pa.RecordBatch:
+def _emit(packed: list[tuple[int, bytes]], kind: int = _PACKED) -> pa.RecordBatch:
     return rows({
-        "shard": ([s for s, _ in packed] + [k % shards for _, k, _ in spans], pa.int64()),
-        "kind": ([_PACKED] * len(packed) + [_SPANS] * len(spans), pa.int32()),
-        "doc": ([None] * len(packed) + [d for d, _, _ in spans], pa.int64()),
-        "doc_key": ([None] * len(packed) + [k for _, k, _ in spans], pa.int64()),
-        "payload": ([p for _, p in packed] + [p for _, _, p in spans], pa.binary()),
+        "shard": ([s for s, _ in packed], pa.int64()),
+        "kind": ([kind] * len(packed), pa.int32()),
+        "payload": ([p for _, p in packed], pa.binary()),
     })
 
 
+class Spans:
+    """Spans that a task has found, merged and sent as one packed row for each group of documents."""
+
+    def __init__(self, groups: int):
+        self.groups, self.held, self.count = groups, [], 0
+
+    def add(self, spans: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(spans)
+        self.count += spans.shape[1]
+        if self.count > GATHERED:
+            yield self.send()
+
+    def send(self) -> pa.RecordBatch:
+        spans = by_place(*np.concatenate(self.held, axis=1)) if self.held else np.zeros((4, 0), np.int64)
+        self.held, self.count = [], 0
+        group = spans[1] % self.groups
+        order = np.argsort(group, kind="stable")
+        spans, group = spans[:, order], group[order]
+        cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+        press = zstandard.ZstdCompressor(level=1)
+        return _emit([(int(group[a]), press.compress(spans[:, a:b].astype("<i8").tobytes())) for a, b in zip(cuts, np.append(cuts[1:], len(group)))], _SPANS)
+
+
+def spans_by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc, doc_key, payload``: one row of merged spans for every document; rows of :class:`Spans` come sorted by group."""
+    open_, now, held = zstandard.ZstdDecompressor(), None, []
+
+    def merged() -> Iterator[pa.RecordBatch]:
+        doc, key, start, end = by_place(*np.concatenate(held, axis=1))
+        cuts = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])))
+        payload = [np.stack([start[a:b], end[a:b]]).astype("<i8").tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(doc)))]
+        yield rows({"doc": (doc[cuts], pa.int64()), "doc_key": (key[cuts], pa.int64()), "payload": (payload, pa.binary())})
+
+    for batch in batches:
+        for group, payload in zip(batch.column("shard").to_pylist(), batch.column("payload").to_pylist()):
+            if group != now and held:
+                yield from merged()
+                held = []
+            now = group
+            held.append(np.frombuffer(open_.decompress(payload), "<i8").reshape(4, -1))
+    if held:
+        yield from merged()
+
+
 def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] | None = None, shards: int | None = None) -> DataFrame:
     """Byte ranges covered by strings of ``length`` bytes that start elsewhere too: ``doc, doc_key, payload``.
 
@@ -157,7 +199,9 @@ def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] | No
     runs of windows with one such hash go to the shard it names, and a shard is sorted on its own.
     Equal runs are settled where they meet, in the map task or the shard, and go on once. In a
     shard only runs whose hash occurs in different strings are sorted; their suffixes are induced
-    with common prefixes, and neighbours that agree on ``length`` bytes mark both.
+    with common prefixes, and neighbours that agree on ``length`` bytes mark both. A task merges
+    the spans of its shards and sends them packed by groups of documents, so a document has one
+    row in the result, however many shards and copies have marked it.
 
     A shard that outgrows ``MOST`` bytes is not held: its distinct runs are cut anew by the
     smallest hash of the next, longer gram, and in the end by the window itself, which parts
@@ -166,27 +210,30 @@ def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] | No
     grams = grams or [max(1, g * length // 400) for g in (48, 128, 256)]
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if shards is None:
-        size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-        shards = max(width, -(-size // SHARD))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = shards or max(width, -(-size // SHARD))
+    groups = max(width, -(-size // MERGED))
     levels = (*(g for g in grams if g < length), length)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Spans(groups)
         for b in slices(batches, "text", 2 << 20):
             raw, offs = text_bytes(b.column("text"))
             strings = Strings(raw, offs, np.asarray(b.column("doc")), np.asarray(b.column("doc_key")), np.zeros(b.num_rows, np.int64))
             strings, _, spans = settle_copies(strings, length)
             begin, stop, least = runs(strings, length, levels[0])
-            yield _emit(pack(strings, begin, stop, least, (least % np.uint64(shards)).astype(np.int64)), spans, shards)
+            yield _emit(pack(strings, begin, stop, least, (least % np.uint64(shards)).astype(np.int64)))
+            yield from found.add(spans)
+        yield found.send()
 
     def sort(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
-        now, held, size, dealt = None, [], 0, False
+        now, held, size, dealt, found = None, [], 0, False, Spans(groups)
 
         def settle(split: bool) -> Iterator[pa.RecordBatch]:
             strings, least = unpack(held)
             strings, kept, spans = settle_copies(strings, length)
             size = np.diff(strings.first)
-            yield _emit([], spans, 1)
+            yield from found.add(spans)
             if split:
                 yield from deal(strings, np.arange(len(size)))
                 return
@@ -210,13 +257,13 @@ def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] | No
             group, ends, sizes = group[~large], ends[~large], sizes[~large]
             for a, b in cut_at(sizes, SORTED):
                 which = np.concatenate([shared[x:y] for x, y in zip(group[a:b], ends[a:b])])
-                yield _emit([], repeated_in(strings.take(which), length), 1)
+                yield from found.add(repeated_in(strings.take(which), length))
 
         def deal(strings: Strings, which: np.ndarray) -> Iterator[pa.RecordBatch]:
             for a, b in cut_at(np.diff(strings.first)[which], 1 << 20):
                 some = strings.take(which[a:b])
                 begin, stop, key = runs(some, length, levels[level + 1])
-                yield _emit(pack(some, begin, stop, key, now * 64 + (key % np.uint64(64)).astype(np.int64)), [], 1)
+                yield _emit(pack(some, begin, stop, key, now * 64 + (key % np.uint64(64)).astype(np.int64)))
 
         for batch in batches:
             settled = batch.filter(pc.equal(batch.column("kind"), _SPANS))
@@ -235,18 +282,20 @@ def repeated_spans(docs: DataFrame, length: int = 400, grams: Sequence[int] | No
                     held, size = [], 0
         if held:
             yield from settle(dealt)
+        yield found.send()
 
     left, found = keyed(docs).mapInArrow(scan, _SCHEMA), None
     for level in range(len(levels)):
         sent = left.repartition(width, "shard").sortWithinPartitions("shard").mapInArrow(functools.partial(sort, level=level), _SCHEMA)
         with small_batches(spark):
             sent = materialize(sent, "suffix-spans")
-        spans = sent.where(F.col("kind") == _SPANS).select("doc", "doc_key", "payload")
+        spans = sent.where(F.col("kind") == _SPANS).select("shard", "payload")
         found = spans if found is None else found.union(spans)
         left = sent.where(F.col("kind") == _PACKED)
         if left.isEmpty():
             break
-    return found
+    found = found.repartition(width, "shard").sortWithinPartitions("shard")
+    return found.mapInArrow(spans_by_document, "doc bigint, doc_key bigint, payload binary")
 
 
 def drop_repeats(docs: DataFrame, length: int = 400) -> DataFrame:

@@ -3,7 +3,7 @@
 import numpy as np
 
 import corpus_pipeline
-from riskloom.llm import suffix_dedup
+from riskloom.llm import spans, suffix_dedup
 from test_corpus_queries import suffix_reference
 
 
@@ -29,3 +29,16 @@ def test_op8_keeps_its_length(spark):
     text = "".join(chr(97 + c) for c in np.random.default_rng(2).integers(0, 26, 399))
     df = spark.createDataFrame([(1, "A" + text), (2, "B" + text)], "doc_id long, text string")
     assert [r.n_removed for r in suffix_dedup.drop_repeats(df).collect()] == [0, 0]
+
+
+def test_ranges_of_many_documents_merge_like_those_of_each():
+    rng = np.random.default_rng(4)
+    doc, key, s = rng.integers(-3, 3, 300), rng.integers(-2, 2, 300), rng.integers(0, 500, 300)
+    e = s + rng.integers(1, 9, 300)
+    got = {}
+    for d, k, a, b in spans.by_place(doc, key, s, e).T.tolist():
+        got.setdefault((d, k), []).append((a, b))
+    for d, k in set(zip(doc.tolist(), key.tolist())):
+        own = (doc == d) & (key == k)
+        assert got.pop((d, k)) == list(zip(*(v.tolist() for v in spans.merge(s[own], e[own]))))
+    assert not got and spans.by_place(*np.zeros((4, 0), np.int64)).shape == (4, 0)
