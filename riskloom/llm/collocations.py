@@ -157,7 +157,8 @@ class _Tally:
             names = [*(self.names[k] for k in key.tolist()), *self.strangers, *((lang, None) for lang in self.sizes)]
             counts = [*counts.tolist(), *self.strangers.values(), *self.sizes.values()]
             yield _rows([x for x, _ in names], [p for _, p in names], [None] * len(names), counts)
-            self.__init__()
+            # What is counted by key only may not have left yet.
+            self.known, self.names, self.sizes, self.strangers = _Counts(), {}, Counter(), Counter()
 
 
 def _rows(langs, phrases, keys, counts) -> pa.RecordBatch:

@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +77,20 @@ def test_small_tables_let_strangers_pass_without_harm(spark, small, monkeypatch)
     assert rows_of(C.collocations(docs, 12)) == brute([(r.lang, r.text) for r in docs.collect()], 12, 2000)
 
 
+def test_rows_sent_by_name_do_not_drop_what_is_counted_by_key(monkeypatch):
+    monkeypatch.setattr(C, "HELD", 16)
+    tally, sums = C._Tally(), Counter()
+    for turn in range(3):
+        texts = C.Texts(pa.array(["a b c d e f"]), ["en"])
+        places, keys = texts.words_at()
+        tally.count_named(texts, 1, places[:5], keys[:5])
+        tally.count(keys[5:])
+        for batch in tally.batches(turn == 2):
+            for r in batch.to_pylist():
+                sums[r["lang"], r["phrase"], r["key"]] += r["n"]
+    assert sums == {**{("en", w, None): 3 for w in "abcde"}, (None, None, int(keys[5:].view("int64")[0])): 3}
+
+
 def test_empty_table(spark):
     assert C.collocations(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
 
