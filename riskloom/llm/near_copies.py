@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -246,12 +246,16 @@ def rooted(nodes: DataFrame, joined: DataFrame) -> DataFrame:
     return nodes.join(joined.withColumnRenamed("root", "_root"), "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root")
 
 
-def stars(nodes: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """``node, root`` after verified links that join the members of hot buckets to a few leaders.
+def unlinked(nodes: DataFrame) -> DataFrame:
+    return nodes.select("node", F.col("node").alias("root")).where(F.lit(False))
+
+
+def stars(nodes: DataFrame, docs: DataFrame, shingle: int, least: float, joined: DataFrame | None = None) -> DataFrame:
+    """``node, root`` after verified links that join the members of hot buckets to a few leaders, and those of ``joined``.
 
     A large cluster is then mostly linked at a cost that grows with its members.
     """
-    joined = nodes.select("node", F.col("node").alias("root")).where(F.lit(False))
+    joined = unlinked(nodes) if joined is None else joined
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     hot = materialize(keyed.groupBy("key").count().where(F.col("count") > HOT).select("key"), "near-hot")
     if hot.isEmpty():
@@ -266,10 +270,10 @@ def stars(nodes: DataFrame, docs: DataFrame, shingle: int, least: float) -> Data
     return joined
 
 
-def linked(nodes: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
+def linked(nodes: DataFrame, docs: DataFrame, shingle: int, least: float, proposed: DataFrame | None = None) -> DataFrame:
     """``node, root`` of all nodes with a link: the components over pairs that share a band and reach ``least``.
 
-    First every bucket proposes the pairs that span it, fewer than its members; they are verified
+    The pairs ``a, b`` of ``proposed`` that reach ``least`` are links before any band is looked at. Then every bucket proposes the pairs that span it, fewer than its members; they are verified
     and contracted, which settles nearly all links. Then members ask the other components that they
     meet in a bucket, see :func:`answered`, so a member near many of one component asks it once.
     Pairs of two components are all asked for and pairs of one are linked already: none is lost.
@@ -278,7 +282,10 @@ def linked(nodes: DataFrame, docs: DataFrame, shingle: int, least: float) -> Dat
     have linked most of it.
     """
     width = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    joined = stars(nodes, docs, shingle, least)
+    joined = unlinked(nodes)
+    if proposed is not None and not proposed.isEmpty():
+        joined = merged(joined, alike(proposed, docs, nodes, shingle, least))
+    joined = stars(nodes, docs, shingle, least, joined)
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     for depth in range(DEEPEST + 1):
         sizes = rooted(keyed, joined).groupBy("key").agg(F.count(F.lit(1)).alias("count"), F.min("root").alias("r"), F.max("root").alias("s"))
@@ -380,20 +387,22 @@ def alike(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, shingle: int, lea
         return materialize(both(members, "members", close).mapInArrow(verify, "a bigint, b bigint"), "near-links")
 
 
-def near_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
+def near_groups(docs: DataFrame, shingle: int = 5, least: float = 0.8, propose: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``doc_id, component_id`` per row: the smallest id reachable over pairs of a Jaccard similarity of ``least`` or more.
 
     Similarity is that of the sets of ``shingle``-word shingles, told apart by 64-bit hashes. Texts
     with one set are one node, whatever number of copies they stand for; null and blank texts are
     one too. Null ids never name a component. Candidates share a band of minimum hashes, so a pair
     at 0.8 is missed with a probability of 5e-6 (8e-5 if it meets in hot buckets only), and
-    alike ones more rarely; no pair below ``least`` is linked.
+    alike ones more rarely; no pair below ``least`` is linked. ``propose`` may name pairs ``a, b``
+    of the ``node, text_key`` it is given, which are verified first.
     """
     with small_batches(docs.sparkSession):
         marked = materialize(signed(docs, shingle), "near-signed")
     one = (F.first(c).alias(c) for c in ("bands", "sketch", "size", *BITS))
     nodes = materialize(marked.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"), *one), "near-nodes")
-    joined = linked(nodes.where("size > 0"), docs, shingle, least)
+    worded = nodes.where("size > 0")
+    joined = linked(worded, docs, shingle, least, propose(worded.select("node", "text_key")) if propose else None)
     roots = materialize(rooted(nodes.select("node", "least"), joined), "near-roots")
     named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialize(roots.select("node", "root").join(named, "root").select("node", "component_id"), "near-names")

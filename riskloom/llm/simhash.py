@@ -215,13 +215,32 @@ def near_groups(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def near_pairs(docs: DataFrame, nodes: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """``a, b``: pairs of the ``node, text_key`` rows that span whatever fingerprints link within ``radius`` bits.
+
+    Texts of one fingerprint pair with one of them, which stands for it in the links of others.
+    """
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text")
+    with small_batches(docs.sparkSession):
+        marked = materialize(with_fingerprint(texts, shingle, ("text_key",)).dropDuplicates(["text_key"]), "near-fingerprints")
+    held = materialize(nodes.join(marked, "text_key").select("node", "fp"), "near-prints")
+    first = materialize(held.groupBy("fp").agg(F.min("node").alias("first")), "near-firsts")
+    same = held.join(first, "fp").where("node <> first").select("node", "first")
+    x, y = (first.select(F.col("fp").alias(side), F.col("first").alias(name)) for side, name in (("a", "x"), ("b", "y")))
+    across = links(held, radius).join(x, "a").join(y, "b").select("x", "y")
+    pairs = same.toDF("x", "y").union(across).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return materialize(pairs.distinct(), "near-proposed")
+
+
 def one_of_each(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """The documents without those that have a smaller id in their group; all columns unchanged.
 
-    Groups are formed by verified similarity of shingle sets, not by fingerprints: a fingerprint
-    distance that keeps most pairs at ``least`` also links many below it. Rows without an id stay,
+    Fingerprints within 4 bits propose pairs, which link where their shingle sets have a similarity
+    of ``least``: a fingerprint distance that keeps most pairs at ``least`` also links many below
+    it. The links that fingerprints miss are added by :mod:`near_copies`. Rows without an id stay,
     and rows that repeat an id stay or go together.
     """
-    groups = near_copies.near_groups(docs.select("doc_id", "text"), shingle, least)
+    source = docs.select("doc_id", "text")
+    groups = near_copies.near_groups(source, shingle, least, lambda nodes: near_pairs(source, nodes))
     gone = materialize(groups.where("component_id < doc_id").select("doc_id").distinct(), "near-copies")
     return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

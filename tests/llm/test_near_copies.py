@@ -136,3 +136,18 @@ def test_blocks_of_a_component_answer_for_all_their_members(spark, monkeypatch):
     monkeypatch.setattr(near_copies, "alike", lambda pairs, *_: pairs.where("false"))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in near_copies.near_groups(df).collect()} == all_pairs(rows)
+
+
+def test_the_stage_links_by_fingerprints_first(spark, monkeypatch):
+    """Before any band is looked at, the pairs that fingerprints propose are verified and linked."""
+    base = " ".join(f"w{i}" for i in range(400))
+    data = [(1, base), (2, base + " tail"), (3, " ".join(f"v{i}" for i in range(400))), (4, base), (5, "w1 w2"), (6, None)]
+    seen = []
+
+    def spied(nodes, docs, shingle, least, joined):
+        seen.append(joined.where("node <> root").count())
+        return joined
+
+    monkeypatch.setattr(near_copies, "stars", spied)
+    out = simhash.one_of_each(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert seen == [1] and sorted(r.doc_id for r in out) == [1, 3, 5, 6]
