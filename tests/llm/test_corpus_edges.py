@@ -1,12 +1,13 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import tempfile
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, decontaminate, mixing, quality, simhash, suffix_dedup, super_kmers, token_rollup, url_filter, warc
+from riskloom.llm import chat, decontaminate, induced_sort, mixing, quality, simhash, suffix_dedup, super_kmers, token_rollup, url_filter, warc
 from riskloom.llm.components import components
 from riskloom.llm.induced_sort import suffix_order
 
@@ -88,6 +89,43 @@ def test_suffix_order_of_small_texts(memory):
             assert c == next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
 
 
+@pytest.mark.parametrize("budget", [0, 500, 1 << 20])
+def test_waiting_chunks_are_dealt_in_blocks(monkeypatch, budget):
+    monkeypatch.setattr(induced_sort, "_BLOCK", 64)
+    with tempfile.TemporaryFile() as file:
+        queue = induced_sort._Queue(file, [budget])
+        for i in range(1000):
+            queue.push(np.array([2 * i, 2 * i + 1]), np.array([i, i]))
+        queue.push(np.arange(2000, 2100), np.zeros(100, np.int64))
+        blocks = []
+        for at, lcp in queue.pop():
+            assert len(at) == len(lcp)
+            blocks.append(at)
+            if len(blocks) == 3:
+                queue.push(np.array([2100]), np.zeros(1, np.int64))
+    assert np.concatenate(blocks).tolist() == list(range(2101))
+    assert len(blocks) == 34  # 2,000 entries by 64, the large chunk, the one pushed meanwhile
+
+
+def test_suffix_order_deals_few_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    lexicon = [bytes(rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint8)) for _ in range(500)]
+    t = np.frombuffer(b" ".join(lexicon[i] for i in rng.integers(0, 500, 8000)), np.uint8).astype(np.int16)
+    calls, deal = [], induced_sort._Pushes.deal
+    monkeypatch.setattr(induced_sort._Pushes, "deal", lambda self, at, lcp: (calls.append(len(at)), deal(self, at, lcp)))
+    order, _ = suffix_order(t, 400)
+    assert sorted(order.tolist()) == list(range(len(t)))
+    assert len(calls) < 300  # 1,509 when every chunk was dealt alone
+
+
+def test_hashes_in_pieces_are_those_of_the_whole(monkeypatch):
+    data = np.random.default_rng(5).integers(0, 256, 9000).astype(np.uint8)
+    want = super_kmers.sliding_min(super_kmers.rolling(suffix_dedup._BYTE[data], 12, suffix_dedup._BASE), 89)
+    monkeypatch.setattr(suffix_dedup, "PIECE", 1000)
+    for n in (0, 99, 100, 101, 999, 1000, 1099, 1100, 9000):
+        assert suffix_dedup.least_hashes(data[:n], 12, 100).tolist() == want[: max(0, n - 99)].tolist()
+
+
 def test_close_is_the_hamming_distance():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 70, dtype=np.uint64)
